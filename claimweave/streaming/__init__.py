@@ -1,0 +1,5 @@
+"""Nothing streams here: the extract is an incremental batch.
+
+A run picks its rows by the audit gate, a closed creation-time window and a closed sequence range
+(see ``claimweave.operators.gate``), so each run is a plain, repeatable batch job.
+"""
