@@ -508,7 +508,10 @@ def field_sql(field) -> str:
 
 
 def extract_sql(kind: str, window: tuple[str, str], numbers: tuple[int, int]) -> str:
-    record = " || '|' || ".join(field_sql(f) for f in RECORDS[kind])
+    """The record of each due line; no lookup row for the bill type leaves no record at all."""
+    record = f"concat_ws('|', {', '.join(field_sql(f) for f in RECORDS[kind])})"
+    if any(f.side == "lookup" for f in RECORDS[kind]):
+        record = f"case when {CROSSWALK} is not null then {record} end"
     return f"""
         select c.claim_fact_key, l.claim_line_fact_key, {record} as claim_data
         from audit a

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
 import uuid
+from functools import cache
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -13,16 +16,26 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back as a parquet table.
 
-    The written table cuts the lineage, survives lost executors and still prunes columns. Where the
-    session names no shared folder the frame is persisted instead, and lost blocks are recomputed.
+    The written table cuts the lineage, survives lost executors and still prunes columns. A session
+    on one machine that names no shared folder gets a folder of its own, removed when it ends; a
+    cluster that names none persists the frame, and lost blocks are recomputed.
     """
     spark = df.sparkSession
     shared = spark.conf.get(CHECKPOINT_SETTING, None)
+    if not shared and spark.sparkContext.master.startswith("local"):
+        shared = _own_folder()
     if not shared:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = f"{shared.rstrip('/')}/claimweave/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@cache
+def _own_folder() -> str:
+    folder = tempfile.TemporaryDirectory(prefix="claimweave-")
+    atexit.register(folder.cleanup)
+    return folder.name
 
 
 def release(df: DataFrame) -> None:

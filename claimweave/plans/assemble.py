@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +54,7 @@ OR_EMPTY = (
 ).split()
 AMOUNTS = (*LINE_AMOUNTS, "claim_patient_liability_amount")
 REJECT_REASON = "reject_reason"
+Rows = Callable[[DataFrame, Warehouse, "BuildOptions", DataFrame | None], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -179,8 +181,10 @@ def reject_reason(layout: tuple[LayoutColumn, ...], values: Mapping[str, Column]
 def lay_out(rows: DataFrame, kind: str, values: Mapping[str, Column]) -> DataFrame:
     """One select to the declared columns, defaults included, plus the reject reason."""
     layout = LAYOUTS[kind]
+    unfilled = {(c.default, c.kind) for c in layout if c.name not in values}
+    defaults = {key: F.lit(key[0]).cast(key[1]) for key in unfilled}
     filled = [
-        typed(c, values[c.name]) if c.name in values else F.lit(c.default).cast(c.kind)
+        typed(c, values[c.name]) if c.name in values else defaults[c.default, c.kind]
         for c in layout
     ]
     return rows.select(
@@ -208,7 +212,7 @@ def referring_columns(referring: DataFrame) -> DataFrame:
 
 
 def institutional_rows(
-    claims: DataFrame, wh: Warehouse, options: BuildOptions, claim_keys: DataFrame | None = None
+    claims: DataFrame, wh: Warehouse, options: BuildOptions, claim_keys: DataFrame | None
 ) -> DataFrame:
     """Join everything an institutional claim needs; parts with one row per claim come first."""
     facts = selected_claims(wh, claim_keys).filter(_of_kind(provider.INSTITUTIONAL))
@@ -237,7 +241,7 @@ def institutional_rows(
 
 
 def professional_rows(
-    claims: DataFrame, wh: Warehouse, options: BuildOptions, claim_keys: DataFrame | None = None
+    claims: DataFrame, wh: Warehouse, options: BuildOptions, claim_keys: DataFrame | None
 ) -> DataFrame:
     """Join everything a professional claim needs; DRG and rendering only repeat rows."""
     facts = selected_claims(wh, claim_keys).filter(_of_kind(provider.PROFESSIONAL))
@@ -263,24 +267,6 @@ def professional_rows(
     return star(claims, parts)
 
 
-def institutional_claims(
-    claims: DataFrame, wh: Warehouse, options: BuildOptions, claim_keys: DataFrame | None = None
-) -> DataFrame:
-    """The wide institutional table with its reject reason."""
-    mine = claims.filter(_of_kind(provider.INSTITUTIONAL))
-    rows = institutional_rows(mine, wh, options, claim_keys)
-    return lay_out(rows, provider.INSTITUTIONAL, institutional_values())
-
-
-def professional_claims(
-    claims: DataFrame, wh: Warehouse, options: BuildOptions, claim_keys: DataFrame | None = None
-) -> DataFrame:
-    """The wide professional table with its reject reason."""
-    mine = claims.filter(_of_kind(provider.PROFESSIONAL))
-    rows = professional_rows(mine, wh, options, claim_keys)
-    return lay_out(rows, provider.PROFESSIONAL, professional_values())
-
-
 def accepted(rows: DataFrame) -> DataFrame:
     """Rows whose numbers all fit their columns."""
     return rows.filter(F.col(REJECT_REASON).isNull()).drop(REJECT_REASON)
@@ -295,11 +281,24 @@ def rejected(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ClaimBuild:
-    """Both wide tables, reject reason included, and the staged header they share."""
+    """The staged header and, planned on first use, the wide tables with their reject reasons."""
 
     header: DataFrame
-    institutional: DataFrame
-    professional: DataFrame
+    warehouse: Warehouse
+    options: BuildOptions
+    claim_keys: DataFrame | None
+
+    @cached_property
+    def institutional(self) -> DataFrame:
+        return self._table(provider.INSTITUTIONAL, institutional_rows, institutional_values())
+
+    @cached_property
+    def professional(self) -> DataFrame:
+        return self._table(provider.PROFESSIONAL, professional_rows, professional_values())
+
+    def _table(self, kind: str, rows: Rows, values: Mapping[str, Column]) -> DataFrame:
+        mine = self.header.filter(_of_kind(kind))
+        return lay_out(rows(mine, self.warehouse, self.options, self.claim_keys), kind, values)
 
 
 def build_claims(
@@ -314,8 +313,4 @@ def build_claims(
     header row only. Split a result with ``accepted`` and ``rejected``.
     """
     header = stage(claim_details(wh, payer_short, claim_keys, options.header), "header")
-    return ClaimBuild(
-        header,
-        institutional_claims(header, wh, options, claim_keys),
-        professional_claims(header, wh, options, claim_keys),
-    )
+    return ClaimBuild(header, wh, options, claim_keys)
