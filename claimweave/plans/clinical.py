@@ -37,11 +37,11 @@ def for_claims(facts: DataFrame, claims: DataFrame) -> DataFrame:
 def claim_diagnosis(claims: DataFrame, wh: Warehouse) -> DataFrame:
     """Live diagnoses of each claim with the standard code and the POA letter."""
     rows = lookup_join(
-        wh.live("claim_fact_to_diagnosis"), wh["diagnosis"], ("diagnosis_code", "diagnosis_code"),
+        wh.live("claim_fact_to_diagnosis"), wh.codes("diagnosis"), ("diagnosis_code", "diagnosis_code"),
         [left_n(F.col("standardized_diagnosis_code"), 7).alias("_standard")], how="inner",
     )
     rows = lookup_join(
-        rows, wh["diagnosis_poa_indicator_code"], ("poa_indicator", "diagnosis_poa_indicator_key"),
+        rows, wh.codes("diagnosis_poa_indicator_code"), ("poa_indicator", "diagnosis_poa_indicator_key"),
         [poa_code(F.col("diagnosis_poa_indicator_code")).alias("_poa")],
     )
     return for_claims(
@@ -60,7 +60,7 @@ def claim_diagnosis(claims: DataFrame, wh: Warehouse) -> DataFrame:
 def claim_procedure(claims: DataFrame, wh: Warehouse) -> DataFrame:
     """Live procedures of each claim; a missing date becomes 1900-01-01."""
     rows = lookup_join(
-        wh.live("claim_fact_to_procedure_code"), wh["date_dimension"],
+        wh.live("claim_fact_to_procedure_code"), wh.codes("date_dimension"),
         ("procedure_date_key", "date_key"), [F.col("date_value").alias("_date")],
     )
     return for_claims(
@@ -181,7 +181,7 @@ def latest_payment(wh: Warehouse, claim_keys: DataFrame | None = None) -> DataFr
         F.col("payment_status_code").isin(*PAID_STATUSES) & not_deleted(F.col("deleted_flag"))
     ).drop("deleted_flag")
     dated = lookup_join(
-        paid, wh["date_dimension"], ("payment_date_key", "date_key"), ["date_value"]
+        paid, wh.codes("date_dimension"), ("payment_date_key", "date_key"), ["date_value"]
     )
     dates = dated.groupBy("payment_fact_key").agg(F.max("date_value").alias("claim_paid_date"))
     return newest.join(dates, newest["_newest"] == dates["payment_fact_key"], "left").select(

@@ -58,7 +58,7 @@ def date_roles(facts: DataFrame, wh: Warehouse, roles: dict[str, str]) -> DataFr
     """Resolve each date key through the date dimension, once per role."""
     for name, key in roles.items():
         facts = lookup_join(
-            facts, wh["date_dimension"], (key, "date_key"), [F.col("date_value").alias(name)]
+            facts, wh.codes("date_dimension"), (key, "date_key"), [F.col("date_value").alias(name)]
         )
     return facts
 
@@ -94,7 +94,7 @@ def add_medicare_id(facts: DataFrame, wh: Warehouse, options: HeaderOptions) ->
 
 def _undeleted_view(wh: Warehouse) -> DataFrame:
     """The date dimension with every row counted as live: this role never tests the flag."""
-    return wh["date_dimension"].withColumn("deleted_flag", F.lit(None).cast("string"))
+    return wh.codes("date_dimension").withColumn("deleted_flag", F.lit(None).cast("string"))
 
 
 def claim_details(
@@ -105,7 +105,7 @@ def claim_details(
 ) -> DataFrame:
     """The claim header; one row per claim and Medicare id row of its member."""
     facts = selected_claims(wh, claim_keys)
-    diagnosis = wh["diagnosis"]
+    diagnosis = wh.codes("diagnosis")
     standard = F.col("standardized_diagnosis_code")
     facts = lookup_join(
         facts, diagnosis, ("primary_diagnosis_code", "diagnosis_code"),
@@ -116,7 +116,7 @@ def claim_details(
         [left_n(standard, 7).alias("admitting_diagnosis")],
     )
     facts = lookup_join(
-        facts, wh["diagnosis_poa_indicator_code"],
+        facts, wh.codes("diagnosis_poa_indicator_code"),
         ("primary_diagnosis_poa_ind_key", "diagnosis_poa_indicator_key"),
         [poa_code(F.col("diagnosis_poa_indicator_code")).alias("principal_diagnosis_poa")],
     )

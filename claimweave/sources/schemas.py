@@ -86,6 +86,7 @@ STAGING_TABLES = ("audit", "claims_professional", "lines_professional", "claims_
                   "lines_institutional", "lookup")
 
 EXACT_TYPES = {
+    "date_key": "int",
     "date_value": "date",
     "endor_exp_date": "timestamp_ntz",
     "endorsement_eff_time": "timestamp_ntz",

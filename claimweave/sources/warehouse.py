@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.functions.rules import not_deleted
+from claimweave.operators.broadcast import broadcast_if_small
 from claimweave.sources.schemas import STAGING_TABLES, WAREHOUSE_COLUMNS, conform
 
 
@@ -19,6 +20,7 @@ class Warehouse(Mapping[str, DataFrame]):
         self._load = load
         self._names = tuple(names)
         self._frames: dict[str, DataFrame] = {}
+        self._codes: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._names:
@@ -33,6 +35,12 @@ class Warehouse(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._names)
 
+    def codes(self, name: str) -> DataFrame:
+        """A table of codes or dates, marked for broadcast where its size allows."""
+        if name not in self._codes:
+            self._codes[name] = broadcast_if_small(self[name])
+        return self._codes[name]
+
     def live(self, name: str) -> DataFrame:
         """Rows of a table that are not soft-deleted."""
         table = self[name]
