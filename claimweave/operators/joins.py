@@ -71,14 +71,10 @@ def spread_null_join(
     """Left join for a key that is mostly NULL.
 
     NULL keys never match, yet a plain shuffle would send all of them to one task. A second join
-    column, constant for real keys and equal to ``spread_by`` for NULL keys, spreads them.
+    column, the key itself or ``spread_by`` where the key is NULL, spreads them over all tasks.
     """
     left_key, right_key = on
-    spread = left.withColumn(
-        "_spread", F.when(F.col(left_key).isNull(), F.col(spread_by)).otherwise(F.lit(0))
-    )
-    keyed = right.withColumnRenamed(right_key, "_key").withColumn(
-        "_zero", F.when(F.col("_key").isNotNull(), F.lit(0).cast("bigint"))
-    )
-    matches = (spread[left_key] == keyed["_key"]) & (spread["_spread"] == keyed["_zero"])
-    return spread.join(keyed, matches, "left").drop("_spread", "_key", "_zero")
+    spread = left.withColumn("_spread", F.coalesce(left_key, spread_by))
+    keyed = right.withColumnRenamed(right_key, "_key")
+    matches = (spread[left_key] == keyed["_key"]) & (spread["_spread"] == keyed["_key"])
+    return spread.join(keyed, matches, "left").drop("_spread", "_key")
