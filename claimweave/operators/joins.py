@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions.rules import in_version, not_deleted, not_in_workbasket
+from claimweave.operators.skew import frequent_keys
 
 VERSION_RANGE = ("version_eff_date_key", "version_exp_date_key")
 EFFECTIVE_RANGE = ("effective_start_date_key", "effective_end_date_key")
@@ -26,11 +27,13 @@ def asof_join(
     how: str = "inner",
     span: tuple[str, str] = VERSION_RANGE,
     status: str | None = None,
+    dense: int | None = None,
 ) -> DataFrame:
     """Join each left row to the history rows in force at its own ``as_of`` key.
 
     The history side is filtered before the join, which for a left join means the same as
     testing it in the join condition. The range test stays as a residual of the hash or merge join.
+    ``dense`` cuts keys with more than that many versions by year, see ``_cut_by_year``.
     """
     left_key, right_key = on
     live = history.filter(not_deleted(F.col("deleted_flag")))
@@ -39,11 +42,49 @@ def asof_join(
     versions = live.select(
         F.col(right_key).alias("_key"), F.col(span[0]).alias("_from"), F.col(span[1]).alias("_to"),
         *values,
-    )
+    ).filter(F.col("_from") < F.col("_to"))
+    if dense is not None:
+        left, versions = _cut_by_year(left, versions, left_key, as_of, dense)
     matches = (left[left_key] == versions["_key"]) & in_version(
         left[as_of], versions["_from"], versions["_to"]
     )
-    return left.join(versions, matches, how).drop("_key", "_from", "_to")
+    if dense is not None:
+        matches = matches & (left["_as_of_year"] == versions["_year"])
+    return left.join(versions, matches, how).drop("_key", "_from", "_to", "_year", "_as_of_year")
+
+
+def _cut_by_year(
+    left: DataFrame, versions: DataFrame, left_key: str, as_of: str, dense: int
+) -> tuple[DataFrame, DataFrame]:
+    """Give both sides a year to join on, so a key with very many versions is met in parts.
+
+    A version of a dense key is repeated once per year it touches, and exactly one of the copies
+    has the year of a matching left row. Other keys get one common year and are not repeated. The
+    dense keys are broadcast; there are fewer than history rows over ``dense``.
+    """
+    hot = frequent_keys(versions.select("_key"), "_key", dense).select(
+        F.col("_key").alias("_dense_key")
+    )
+    hot = F.broadcast(hot)
+
+    def marked(df: DataFrame, key: str) -> DataFrame:
+        return df.join(hot, df[key] == hot["_dense_key"], "left")
+
+    is_dense = F.col("_dense_key").isNotNull()
+    no_year = F.lit(-1)
+    years = F.sequence(_year("_from"), _year("_to"))
+    cut = marked(versions, "_key").withColumn(
+        "_year", F.explode(F.when(is_dense, years).otherwise(F.array(no_year)))
+    )
+    placed = marked(left, left_key).withColumn(
+        "_as_of_year", F.when(is_dense, _year(as_of)).otherwise(no_year)
+    )
+    return placed.drop("_dense_key"), cut.drop("_dense_key")
+
+
+def _year(day_key: str) -> Column:
+    """Year of a ``yyyymmdd`` key."""
+    return F.floor(F.col(day_key) / F.lit(10000)).cast("int")
 
 
 def lookup_join(

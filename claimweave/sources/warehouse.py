@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +14,18 @@ from claimweave.sources.schemas import STAGING_TABLES, WAREHOUSE_COLUMNS, confor
 
 
 class Warehouse(Mapping[str, DataFrame]):
-    """The source tables by lower-case name, each loaded on first use."""
-
-    def __init__(self, load: Callable[[str], DataFrame], names=tuple(WAREHOUSE_COLUMNS)):
+    """The source tables by lower-case name, each loaded on first use.
+
+    ``dense_versions`` makes the as-of joins cut keys with more versions than that by year.
+    """
+
+    def __init__(
+        self,
+        load: Callable[[str], DataFrame],
+        names: Iterable[str] = tuple(WAREHOUSE_COLUMNS),
+        dense_versions: int | None = None,
+    ):
+        self.dense_versions = dense_versions
         self._load = load
         self._names = tuple(names)
         self._frames: dict[str, DataFrame] = {}
@@ -47,17 +56,28 @@ class Warehouse(Mapping[str, DataFrame]):
         return table.filter(not_deleted(F.col("deleted_flag"))).drop("deleted_flag")
 
     @classmethod
-    def from_files(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> Warehouse:
+    def from_files(
+        cls, spark: SparkSession, root: str, fmt: str = "parquet", dense_versions: int | None = None
+    ) -> Warehouse:
         """One folder or file per table below ``root``, in any format Spark reads."""
-        return cls(lambda name: spark.read.format(fmt).load(f"{root}/{name}"))
+        return cls(
+            lambda name: spark.read.format(fmt).load(f"{root}/{name}"),
+            dense_versions=dense_versions,
+        )
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, database: str) -> Warehouse:
-        return cls(lambda name: spark.table(f"{database}.{name}"))
+    def from_catalog(
+        cls, spark: SparkSession, database: str, dense_versions: int | None = None
+    ) -> Warehouse:
+        """Tables of one catalog database."""
+        return cls(lambda name: spark.table(f"{database}.{name}"), dense_versions=dense_versions)
 
     @classmethod
-    def from_frames(cls, frames: Mapping[str, DataFrame]) -> Warehouse:
-        return cls(lambda name: frames[name], tuple(n for n in WAREHOUSE_COLUMNS if n in frames))
+    def from_frames(
+        cls, frames: Mapping[str, DataFrame], dense_versions: int | None = None
+    ) -> Warehouse:
+        names = [n for n in WAREHOUSE_COLUMNS if n in frames]
+        return cls(lambda name: frames[name], names, dense_versions)
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,7 @@ from conftest import values
 from pyspark.sql import functions as F
 from small import FOREVER, warehouse
 
-from claimweave import BuildOptions, HeaderOptions, accepted, build_claims, rejected, stage_claims
+from claimweave import BuildOptions, HeaderOptions, Warehouse, accepted, build_claims, rejected, stage_claims
 from claimweave.plans import bridge, clinical, header, member, provider
 from claimweave.plans.amounts import claim_amounts
 
@@ -240,3 +240,14 @@ def test_row_parity_repeats_professional_rows(spark):
     full = build_claims(wh, "PAYER", options=BuildOptions(as_of=AS_OF))
     assert values(plain.professional) == values(full.professional)
     assert plain.professional.agg(F.count("*")).first()[0] == 1
+
+
+def test_dense_histories_do_not_change_a_build(spark):
+    plain = wide_warehouse(spark)
+    dense = Warehouse.from_frames(dict(plain), dense_versions=0)
+    for kind in ("institutional", "professional"):
+        wanted, got = (
+            values(getattr(build_claims(wh, "PAYER", options=BuildOptions(as_of=AS_OF)), kind))
+            for wh in (plain, dense)
+        )
+        assert got == wanted

@@ -98,6 +98,26 @@ def test_a_hot_history_key_is_split_at_run_time(spark, settings):
     assert "skew=true" in plan_of(final)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_dense_histories_give_the_same_rows(spark, how):
+    claims = spark.range(400).select(
+        F.col("id").alias("c"), F.when(F.col("id") % 11 > 0, F.col("id") % 5).alias("k"),
+        F.when(F.col("id") % 13 > 0, 19990000 + F.col("id") * 97).cast("int").alias("as_of"),
+    )
+    history = spark.range(300).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 7).alias("k"), F.col("id").alias("v"),
+        (19980000 + F.col("id") * 111).cast("int").alias("version_eff_date_key"),
+        F.when(F.col("id") % 9 == 0, 99991231).otherwise(19980500 + F.col("id") * 120).cast("int")
+        .alias("version_exp_date_key"), F.lit(None).cast("string").alias("deleted_flag"),
+    )
+    plain, cut = (
+        asof_join(claims, history, ("k", "k"), ["v"], as_of="as_of", how=how, dense=dense)
+        for dense in (None, 30)
+    )
+    assert cut.columns == plain.columns
+    assert values(cut) == values(plain)
+
+
 def test_null_keys_are_spread(spark, settings):
     settings(autoBroadcastJoinThreshold=-1, adaptive__enabled="false")
     left = spark.range(4000).select(F.col("id").alias("c"), F.when(F.col("id") % 4 == 0, F.col("id")).alias("k"))
