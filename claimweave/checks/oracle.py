@@ -507,15 +507,17 @@ def field_sql(field) -> str:
     return f"coalesce({column}, '')"
 
 
-def extract_sql(kind: str, window: tuple[str, str], numbers: tuple[int, int]) -> str:
+def extract_sql(
+    kind: str, window: tuple[str, str], numbers: tuple[int, int], claims: str | None = None
+) -> str:
     """The record of each due line; no lookup row for the bill type leaves no record at all."""
     record = f"concat_ws('|', {', '.join(field_sql(f) for f in RECORDS[kind])})"
     if any(f.side == "lookup" for f in RECORDS[kind]):
         record = f"case when {CROSSWALK} is not null then {record} end"
     return f"""
-        select c.claim_fact_key, l.claim_line_fact_key, {record} as claim_data
+        select c.claim_fact_key as claim_fact_key, l.claim_line_fact_key, {record} as claim_data
         from audit a
-        join claims_{kind.lower()} c on a.claim_number = c.claim_fact_key
+        join {claims or f"claims_{kind.lower()}"} c on a.claim_number = c.claim_fact_key
         join lines_{kind.lower()} l on c.claim_fact_key = l.claim_fact_key
         where upper(a.insert_status) = 'SUCCESS' and rtrim(coalesce(a.extract_status, '')) = ''
             and c.created_date between timestamp '{window[0]}' and timestamp '{window[1]}'
@@ -569,6 +571,20 @@ def professional_slots() -> str:
     )
 
 
+def built_sql(wide: str, slots: str) -> str:
+    """Staged claims made from a wide table and its slots."""
+    return f"""
+        select w.* replace (cast(w."CLAIM_FACT_KEY" as bigint) as "CLAIM_FACT_KEY"),
+            k.* exclude (claim_fact_key), timestamp '{AS_OF}' as created_date,
+            cast(w."CLAIM_FACT_KEY" as bigint) as seq_no
+        from ({wide}) w left join ({slots}) k on w."CLAIM_FACT_KEY" = k.claim_fact_key"""
+
+
+PARTS |= {
+    "built_professional": built_sql(CDS_PROFESSIONAL, professional_slots()),
+    "built_institutional": built_sql(CDS_INSTITUTIONAL, institutional_slots()),
+}
+
 FINAL = {
     "soft_delete_filter": f"select claim_fact_key, deleted_flag from all_claim_fact c where {live('c')}",
     "status_not_in": f"""select member_history_fact_key, member_status
@@ -667,6 +683,12 @@ FINAL = {
         from claims_professional c""",
     "extract_professional": extract_sql("PROFESSIONAL", ALL_TIME, ALL_ROWS),
     "extract_institutional": extract_sql("INSTITUTIONAL", ALL_TIME, ALL_ROWS),
+    "built_records_professional": extract_sql(
+        "PROFESSIONAL", ALL_TIME, ALL_ROWS, "built_professional"
+    ),
+    "built_records_institutional": extract_sql(
+        "INSTITUTIONAL", ALL_TIME, ALL_ROWS, "built_institutional"
+    ),
     "extract_slice": extract_sql("PROFESSIONAL", WINDOW, SLICE),
 }
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,12 @@ def on_warehouse(build: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse
     return build
 
 
+def on_spark(build: Query) -> Query:
+    """Register a query as it stands."""
+    QUERIES[build.__name__] = build
+    return build
+
+
 def on_views(build: Callable[[SampleViews], DataFrame]) -> Callable[[SampleViews], DataFrame]:
     """Register a query that reads staged, audit or lookup views."""
     QUERIES[build.__name__] = lambda spark, folder: build(SampleViews(spark, folder))
@@ -468,6 +475,31 @@ def extract(kind: str, numbers: tuple[int, int], window: tuple[dt.datetime, dt.d
 
 QUERIES["extract_professional"] = extract("professional", ALL_ROWS, ALL_TIME)
 QUERIES["extract_institutional"] = extract("institutional", ALL_ROWS, ALL_TIME)
+def built_records(spark: SparkSession, folder: str, kind: str) -> DataFrame:
+    """From warehouse to records: build, number the lists, stage, extract."""
+    wh = sample_warehouse(spark, folder)
+    build = build_claims(wh, PAYER, options=OPTIONS)
+    diagnoses = clinical.claim_diagnosis(build.header, wh)
+    if kind == "professional":
+        arrays = clinical.professional_diagnosis_array(diagnoses)
+    else:
+        procedures = clinical.procedure_array(clinical.claim_procedure(build.header, wh))
+        arrays = clinical.diagnosis_arrays(diagnoses).join(procedures, "claim_fact_key", "full")
+    staged = bridge.stage_claims(accepted(getattr(build, kind)), arrays, kind, AS_OF)
+    staging = replace(sample_staging(spark, folder, kind), claims=staged)
+    return extract_records(staging, kind, ALL_ROWS, ALL_TIME)
+
+
+@on_spark
+def built_records_professional(spark, folder):
+    return built_records(spark, folder, "professional")
+
+
+@on_spark
+def built_records_institutional(spark, folder):
+    return built_records(spark, folder, "institutional")
+
+
 QUERIES["extract_slice"] = extract("professional", SLICE, WINDOW)
 
 
