@@ -1,10 +1,21 @@
 """Expected results as plain SQL for DuckDB over the same sample views.
 
-The parts restate the pipeline's rules in SQL of their own; they share no code with the builders.
+The parts restate the pipeline's joins and rules in SQL of their own. Only the fixed column mappings
+and layouts are shared with the builders; the layouts are tested against the fixtures document.
 """
 
 from __future__ import annotations
 
+from claimweave.plans.columns import (
+    ACCOUNT_TEXT,
+    ADDRESS_TEXT,
+    HEADER_TEXT,
+    MEMBER_TEXT,
+    PRACTITIONER_TEXT,
+    SUPPLIER_TEXT,
+    TAXONOMY_TEXT,
+    Mapping,
+)
 from claimweave.plans.layouts import LAYOUTS
 from claimweave.plans.records import RECORDS
 from claimweave.sources.sample import with_views
@@ -49,21 +60,28 @@ POA = (
     "case when p.diagnosis_poa_indicator_code in ('N/S', 'N/A') then '' "
     "else left(p.diagnosis_poa_indicator_code, 1) end"
 )
-ADDRESS = (
-    "left(a.address_line, 55) as {0}_1, left(a.address_line_2, 55) as {0}_2, "
-    "left(a.city_name, 30) as {1}city, left(a.state_code, 2) as {1}state, "
-    "left(a.zip_code, 5) as {1}zip, {2} as {1}zip_plus_4, a.country_code as {1}country"
-)
+
+
+def cut(alias: str, mapping: Mapping, prefix: str = "", **other: str) -> str:
+    """Select list of a column mapping; ``other`` replaces single expressions."""
+    listed = []
+    for name, source, width in mapping:
+        value = f"{alias}.{source}" if width is None else f"left({alias}.{source}, {width})"
+        listed.append(f"{other.get(name, value)} as {prefix}{name}")
+    return ", ".join(listed)
+
+
+def provider_address() -> str:
+    """Address columns of a provider: street lines under their own prefix, zip+4 cut to four."""
+    street, rest = ADDRESS_TEXT[:2], ADDRESS_TEXT[2:]
+    return f"{cut('a', street, 'street_')}, {cut('a', rest, zip_plus_4='left(a.zip_4_code, 4)')}"
+
 
 PARTS = {
     "want_header": f"""
         select c.claim_fact_key, c.claim_type_name, '{PAYER}' as payer_short,
-            left(c.patient_account_number, 24) as patient_control_number,
-            left(c.claim_hcc_id, 25) as claim_id, left(c.type_of_bill_code, 4) as bill_type,
-            c.discharge_status_code as discharge_status,
-            left(c.principal_procedure_code, 7) as principal_procedure,
+            {cut("c", HEADER_TEXT)},
             pd.date_value as principal_procedure_date,
-            left(c.benefit_assignment, 1) as assignment_of_benefits,
             case when c.is_adjusted = 'Y' then coalesce(left(v.claim_hcc_id, 25), '') else '' end
                 as claim_id_orig,
             left(d.standardized_diagnosis_code, 7) as principal_diagnosis,
@@ -74,7 +92,7 @@ PARTS = {
             rd.date_value as date_received_client, 'Y' as cv_us_only_yn,
             c.submitted_drg_key, c.calculated_drg_key, c.member_key, c.supplier_key, c.location_key,
             c.attending_practitioner_key, c.referring_practitioner_key, c.endorsement_eff_time,
-            c.is_adjusted as is_adjusted_claim, c.is_voided, c.statement_start_date_key,
+            c.is_voided, c.statement_start_date_key,
             left(coalesce(m.mbi, m.hicn), 25) as sub_medicare_id, c.length_of_stay,
             jd.date_value as date_adjudicated
         from all_claim_fact c
@@ -96,18 +114,8 @@ PARTS = {
         where {live("c")}""",
     "want_member": f"""
         select h.claim_fact_key, h.statement_start_date_key as start_key, v.member_history_fact_key,
-            left(v.subscription_hcc_id, 25) as sub_id, v.member_gender_code as patient_gender_id,
-            replace(v.tax_id, '-', '') as patient_ssn,
-            left(v.member_last_name, 60) as patient_last_name,
-            left(v.member_first_name, 35) as patient_first_name,
-            left(v.member_middle_name, 25) as patient_middle_name,
-            left(v.member_name_suffix, 10) as patient_name_suffix,
-            left(v.subscriber_last_name, 60) as sub_last_name,
-            left(v.subscriber_first_name, 35) as sub_first_name,
-            left(v.subscriber_middle_name, 25) as sub_middle_name,
-            left(v.subscriber_name_suffix, 10) as sub_name_suffix,
-            left(g.account_hcc_id, 15) as group_id, left(g.account_name, 60) as group_name,
-            {ADDRESS.format("patient_address", "patient_", "a.zip_4_code")},
+            {cut("v", MEMBER_TEXT)}, replace(v.tax_id, '-', '') as patient_ssn,
+            {cut("g", ACCOUNT_TEXT)}, {cut("a", ADDRESS_TEXT, "patient_")},
             bd.date_value as patient_dob, dd.date_value as patient_death_date,
             '18' as relationship_to_sub
         from want_header h
@@ -189,12 +197,9 @@ PARTS = {
             referring_practitioner_key, statement_start_date_key
         from all_claim_fact c where {live("c")}""",
     "want_billing": f"""
-        select k.claim_fact_key, left(v.supplier_hcc_id, 25) as provider_id,
-            left(v.supplier_npi, 10) as npi, left(x.provider_taxonomy_code, 10) as subspec_id,
-            replace(e.tax_id, '-', '') as taxgroup_id, 'P' as entity_type,
-            left(v.supplier_name, 60) as last_name, '' as first_name, '' as middle_name,
-            '' as name_suffix,
-            {ADDRESS.format("street_address", "", "left(a.zip_4_code, 4)")}
+        select k.claim_fact_key, {cut("x", TAXONOMY_TEXT)}, {cut("v", SUPPLIER_TEXT)},
+            '' as first_name, '' as middle_name, '' as name_suffix,
+            replace(e.tax_id, '-', '') as taxgroup_id, 'P' as entity_type, {provider_address()}
         from want_claim k
         join all_supplier_history_fact v on k.supplier_key = v.supplier_key
         left join postal_address a
@@ -208,12 +213,7 @@ PARTS = {
             and {live("v")}""",
     "want_referring": f"""
         select k.claim_fact_key, k.referring_practitioner_key,
-            left(v.practitioner_hcc_id, 25) as provider_id, left(v.practitioner_npi, 10) as npi,
-            left(x.provider_taxonomy_code, 10) as subspec_id,
-            left(v.practitioner_last_name, 60) as last_name,
-            left(v.practitioner_first_name, 35) as first_name,
-            left(v.practitioner_middle_name, 25) as middle_name,
-            left(v.practitioner_name_suffix, 10) as name_suffix
+            {cut("x", TAXONOMY_TEXT)}, {cut("v", PRACTITIONER_TEXT)}
         from want_claim k
         join all_practitioner_history_fact v on k.referring_practitioner_key = v.practitioner_key
         left join provider_taxonomy x
@@ -234,14 +234,8 @@ PARTS = {
                 as rendering_key
         from want_claim k left join want_first_line f on k.claim_fact_key = f.claim_fact_key""",
     "want_rendering": f"""
-        select k.claim_fact_key, left(v.practitioner_hcc_id, 25) as provider_id,
-            left(v.practitioner_npi, 10) as npi, left(x.provider_taxonomy_code, 10) as subspec_id,
-            replace(v.tax_id, '-', '') as taxgroup_id, 'P' as entity_type,
-            left(v.practitioner_last_name, 60) as last_name,
-            left(v.practitioner_first_name, 35) as first_name,
-            left(v.practitioner_middle_name, 25) as middle_name,
-            left(v.practitioner_name_suffix, 10) as name_suffix,
-            {ADDRESS.format("street_address", "", "left(a.zip_4_code, 4)")}
+        select k.claim_fact_key, {cut("x", TAXONOMY_TEXT)}, {cut("v", PRACTITIONER_TEXT)},
+            replace(v.tax_id, '-', '') as taxgroup_id, 'P' as entity_type, {provider_address()}
         from want_rendering_key k
         join all_practitioner_history_fact v on k.rendering_key = v.practitioner_key
         left join postal_address a

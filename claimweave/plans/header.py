@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimweave.functions import left_n, not_deleted, poa_code
 from claimweave.operators.joins import lookup_join, spread_null_join
+from claimweave.plans.columns import HEADER_TEXT, text_columns
 from claimweave.sources import Warehouse
 
 # Date roles of a claim: output column and the fact column that holds its date key.
@@ -129,19 +130,13 @@ def claim_details(
     return facts.select(
         *PLAIN_COLUMNS,
         F.lit(payer_short).alias("payer_short"),
-        left_n(F.col("patient_account_number"), 24).alias("patient_control_number"),
-        left_n(F.col("claim_hcc_id"), 25).alias("claim_id"),
-        left_n(F.col("type_of_bill_code"), 4).alias("bill_type"),
-        F.col("discharge_status_code").alias("discharge_status"),
-        left_n(F.col("principal_procedure_code"), 7).alias("principal_procedure"),
-        left_n(F.col("benefit_assignment"), 1).alias("assignment_of_benefits"),
+        *text_columns(HEADER_TEXT),
         prior_id.alias("claim_id_orig"),
         "principal_diagnosis",
         "principal_diagnosis_poa",
         "admitting_diagnosis",
         *DATE_ROLES,
         F.lit("Y").alias("cv_us_only_yn"),
-        F.col("is_adjusted").alias("is_adjusted_claim"),
         "sub_medicare_id",
         "date_adjudicated",
     )

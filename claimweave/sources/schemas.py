@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # The warehouse tables and the columns the pipeline reads from them.
 WAREHOUSE_COLUMNS = {
@@ -110,4 +109,4 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     A cast that changes nothing is removed by the optimizer, so filters still reach the scan.
     """
     names = WAREHOUSE_COLUMNS[table].split()
-    return df.select(*(F.col(n).cast(column_type(n)).alias(n) for n in names))
+    return df.selectExpr(*(f"cast({n} as {column_type(n)}) as {n}" for n in names))

@@ -6,7 +6,16 @@ from conftest import values
 from pyspark.sql import functions as F
 from small import FOREVER, warehouse
 
-from claimweave import BuildOptions, HeaderOptions, Warehouse, accepted, build_claims, rejected, stage_claims
+from claimweave import (
+    BuildOptions,
+    HeaderOptions,
+    Warehouse,
+    accepted,
+    build_claims,
+    rejected,
+    stage_claims,
+    write_claims,
+)
 from claimweave.plans import bridge, clinical, header, member, provider
 from claimweave.plans.amounts import claim_amounts
 
@@ -251,3 +260,12 @@ def test_dense_histories_do_not_change_a_build(spark):
             for wh in (plain, dense)
         )
         assert got == wanted
+
+
+def test_wide_table_is_written_by_claim_type(spark, tmp_path):
+    build = build_claims(wide_warehouse(spark), "PAYER", options=BuildOptions(as_of=AS_OF))
+    path = str(tmp_path / "claims")
+    write_claims(accepted(build.institutional), path)
+    back = spark.read.parquet(path)
+    assert values(back, "CLAIM_TYPE_NAME", "CLAIM_FACT_KEY") == [("INSTITUTIONAL", Decimal(1))]
+    assert len(back.columns) == 532
