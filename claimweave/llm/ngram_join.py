@@ -228,7 +228,7 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) ->
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    wanted = docs.join(ids, F.col("doc_id") == F.col("id"), "left_semi")
+    wanted = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
     sets = stored(_texts(wanted, emit, f"doc_id {kind}, grams binary"), "grams")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

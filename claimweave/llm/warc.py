@@ -107,7 +107,8 @@ def train(rows: DataFrame, size: int = DICT_BYTES) -> bytes:
         samples.append(record(r["page_id"], r["url"], bytes(r["payload"]), r["original"])[: SAMPLE_BYTES // 16])
         total += len(samples[-1])
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes() if len(samples) >= 8 else b""
+        # A dictionary wants several times its size of samples.
+        return zstandard.train_dictionary(min(size, total // 8), samples).as_bytes() if len(samples) >= 8 else b""
     except zstandard.ZstdError:
         return b""
 
