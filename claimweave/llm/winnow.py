@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimweave.llm.common import bind
+from claimweave.llm.common import bind, stored
 
 SPAN = 10  # words of a window
 GRAM = 5
@@ -149,7 +149,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per document: words, hit words, items with a window in it, their digest, and whether any word is hit."""
-    found = hits(docs, items)
+    found = stored(hits(docs, items), "hits")  # read twice, made once
     words = (
         found.select("doc_id", F.explode("places").alias("p")).distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit"))
     )
