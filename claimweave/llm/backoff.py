@@ -28,28 +28,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.llm.bpe import encoder_for, read_ranks
-from claimweave.llm.common import stored
+from claimweave.llm.common import map_batches, stored
 
 HEAD = 262_144
 BACKOFF = 0.4
 SLICE = 256  # documents that a task counts together
 
 
-def _tokens(docs: DataFrame, ranks_path: str, pattern: str, emit, schema: str) -> DataFrame:
-    """emit(doc places, tokens, doc ids) over slices of documents; a place is that of a token's document."""
+def tokenised(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """doc_id and the text's tokens, two bytes each, stored: both passes read them."""
     make_encoder = encoder_for(docs.sparkSession, ranks_path, pattern)
 
-    def run(batches):
+    def make():
         encode = make_encoder().encode
+
+        def apply(rows):
+            return {
+                "doc_id": rows["doc_id"],
+                "tokens": [np.array(encode(t or ""), dtype="<u2").tobytes() for t in rows["text"]],
+            }
+
+        return apply
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = map_batches(docs.select("doc_id", "text"), make, f"doc_id {kind}, tokens binary", rows=SLICE)
+    return stored(found, "tokens")
+
+
+def _over_slices(tokens: DataFrame, emit, schema: str) -> DataFrame:
+    """emit(doc places, tokens, doc ids, sizes) over slices of documents; a place is that of a token's document."""
+
+    def run(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
                 part = batch.slice(start, SLICE)
-                own = [np.array(encode(t or ""), dtype=np.int64) for t in part.column(1).to_pylist()]
+                own = [np.frombuffer(t, dtype="<u2").astype(np.int64) for t in part.column(1).to_pylist()]
                 sizes = np.array([len(x) for x in own])
-                place = np.repeat(np.arange(len(own)), sizes)
-                yield from emit(place, np.concatenate(own), part.column(0), sizes)
+                yield from emit(np.repeat(np.arange(len(own)), sizes), np.concatenate(own), part.column(0), sizes)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return tokens.mapInArrow(run, schema)
 
 
 def _bigrams(place: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,14 +75,14 @@ def _bigrams(place: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndar
     return ((tokens[:-1] << 16) | tokens[1:])[inside], place[1:][inside]
 
 
-def ngram_counts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def ngram_counts(tokens: DataFrame) -> DataFrame:
     """ngram, n over all documents: tokens below 0 as -1 - token, bigrams u * 65536 + w."""
 
     def emit(place, tokens, _ids, _sizes):
         found, n = np.unique(np.concatenate([_bigrams(place, tokens)[0], -1 - tokens]), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["ngram", "n"])
 
-    counts = _tokens(docs, ranks_path, pattern, emit, "ngram long, n long")
+    counts = _over_slices(tokens, emit, "ngram long, n long")
     return counts.groupBy("ngram").agg(F.sum("n").alias("n"))
 
 
@@ -75,7 +92,8 @@ def scores(docs: DataFrame, ranks_path: str, pattern: str, head: int = HEAD, bac
     vocab = max(read_ranks(ranks_path).values()) + 1
     if vocab > 1 << 16:
         raise ValueError("bigrams are packed for vocabularies of at most 65,536 entries")
-    counts = stored(ngram_counts(docs, ranks_path, pattern), "ngrams")
+    texts = tokenised(docs, ranks_path, pattern)
+    counts = stored(ngram_counts(texts), "ngrams")
     unigrams = np.zeros(vocab, dtype=np.int64)
     for r in counts.where("ngram < 0").collect():  # a row per vocabulary entry at most
         unigrams[-1 - r["ngram"]] = r["n"]
@@ -124,9 +142,7 @@ def scores(docs: DataFrame, ranks_path: str, pattern: str, head: int = HEAD, bac
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    parts = _tokens(
-        docs, ranks_path, pattern, emit, f"doc_id {kind}, ngram long, n long, n_backoff long, log_prob double"
-    )
+    parts = _over_slices(texts, emit, f"doc_id {kind}, ngram long, n long, n_backoff long, log_prob double")
     terms = spark.createDataFrame(
         pd.DataFrame({"token": np.arange(vocab), "low": low, "first": first}), "token long, low double, first double"
     )
