@@ -139,7 +139,7 @@ def write_archives(rows: DataFrame, folder: str, dictionary: bytes, level: int =
             for i in range(batch.num_rows):
                 if out is None:
                     path, size, n = f"{folder}/{uuid.uuid4().hex}.warc.zst", len(head), 0
-                    out = files.open_output_stream(_open(path)[1])
+                    out = files.open_output_stream(_open(path)[1], compression=None)
                     out.write(head)
                 page, url, payload, original = (c[i].as_py() for c in columns)
                 frame = packer.compress(record(page, url, payload, original))
@@ -209,7 +209,7 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
                 files, local = _open(path)
                 rows: list[tuple] = []
                 size = 0
-                with files.open_input_stream(local) as stream:
+                with files.open_input_stream(local, compression=None) as stream:
                     for raw in frames(stream):
                         fields, block = parse(raw)
                         http, _, payload = block.partition(b"\r\n\r\n")

@@ -203,7 +203,9 @@ def test_archives_of_few_pages_have_no_dictionary(pages_of):
 
 
 def test_dictionary_is_in_a_leading_skippable_frame(pages_of, tmp_path):
-    rows = [(i, "http://h.example/", f"<html><body><article>number {i} " + "some text here " * 20) for i in range(400)]
+    rng = random.Random(12)
+    words = [f"word{rng.randrange(10**6)}" for _ in range(300)]
+    rows = [(i, "http://h.example/", "<html><body><p>" + " ".join(rng.choices(words, k=60))) for i in range(400)]
     index = warc.archive_pages(pages_of(rows), f"file://{tmp_path}").collect()
     assert sum(r["records"] for r in index) == 400
     for r in index:
