@@ -24,8 +24,6 @@ AS_OF = "2020-01-01 00:00:00"
 PAYER = "PAYER"
 WINDOW = ("1996-02-29 00:00:00", "2000-12-31 00:00:00")
 SLICE = (10, 1_000_000_000)
-ALL_TIME = ("1900-01-01 00:00:00", "9999-12-31 00:00:00")
-ALL_ROWS = (0, 1_000_000_000_000)
 
 
 def live(alias: str) -> str:
@@ -502,20 +500,26 @@ def field_sql(field) -> str:
 
 
 def extract_sql(
-    kind: str, window: tuple[str, str], numbers: tuple[int, int], claims: str | None = None
+    kind: str,
+    window: tuple[str, str] | None = None,
+    numbers: tuple[int, int] | None = None,
+    claims: str | None = None,
 ) -> str:
     """The record of each due line; no lookup row for the bill type leaves no record at all."""
     record = f"concat_ws('|', {', '.join(field_sql(f) for f in RECORDS[kind])})"
     if any(f.side == "lookup" for f in RECORDS[kind]):
         record = f"case when {CROSSWALK} is not null then {record} end"
+    bounds = ""
+    if window:
+        bounds += f" and c.created_date between timestamp '{window[0]}' and timestamp '{window[1]}'"
+    if numbers:
+        bounds += f" and c.seq_no between {numbers[0]} and {numbers[1]}"
     return f"""
         select c.claim_fact_key as claim_fact_key, l.claim_line_fact_key, {record} as claim_data
         from audit a
         join {claims or f"claims_{kind.lower()}"} c on a.claim_number = c.claim_fact_key
         join lines_{kind.lower()} l on c.claim_fact_key = l.claim_fact_key
-        where upper(a.insert_status) = 'SUCCESS' and rtrim(coalesce(a.extract_status, '')) = ''
-            and c.created_date between timestamp '{window[0]}' and timestamp '{window[1]}'
-            and c.seq_no between {numbers[0]} and {numbers[1]}"""
+        where upper(a.insert_status) = 'SUCCESS' and rtrim(coalesce(a.extract_status, '')) = ''{bounds}"""
 
 
 def slots_sql(groups: list[tuple[str, str, int, int, list[tuple[str, str]]]]) -> str:
@@ -675,14 +679,10 @@ FINAL = {
         coalesce(c."CLAIM_TYPE", ''), coalesce(strftime(c."PATIENT_DOB", '%Y%m%d'), ''),
         coalesce(cast(c."PATIENT_WEIGHT" as varchar), ''), coalesce(c."CLAIM_ID", '')) as record
         from claims_professional c""",
-    "extract_professional": extract_sql("PROFESSIONAL", ALL_TIME, ALL_ROWS),
-    "extract_institutional": extract_sql("INSTITUTIONAL", ALL_TIME, ALL_ROWS),
-    "built_records_professional": extract_sql(
-        "PROFESSIONAL", ALL_TIME, ALL_ROWS, "built_professional"
-    ),
-    "built_records_institutional": extract_sql(
-        "INSTITUTIONAL", ALL_TIME, ALL_ROWS, "built_institutional"
-    ),
+    "extract_professional": extract_sql("PROFESSIONAL"),
+    "extract_institutional": extract_sql("INSTITUTIONAL"),
+    "built_records_professional": extract_sql("PROFESSIONAL", claims="built_professional"),
+    "built_records_institutional": extract_sql("INSTITUTIONAL", claims="built_institutional"),
     "extract_slice": extract_sql("PROFESSIONAL", WINDOW, SLICE),
 }
 

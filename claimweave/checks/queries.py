@@ -34,7 +34,7 @@ from claimweave.operators import (
 )
 from claimweave.operators.records import join_runs, render_runs
 from claimweave.plans import bridge, clinical, header, member, provider
-from claimweave.plans.amounts import claim_amounts
+from claimweave.plans.amounts import MONEY, claim_amounts
 from claimweave.plans.assemble import BuildOptions, accepted, build_claims, rejected
 from claimweave.plans.extract import extract_records, translate_bill_type
 from claimweave.plans.records import Field
@@ -47,8 +47,6 @@ AS_OF = dt.datetime(2020, 1, 1)
 PAYER = "PAYER"
 WINDOW = (dt.datetime(1996, 2, 29), dt.datetime(2000, 12, 31))
 SLICE = (10, 1_000_000_000)
-ALL_TIME = (dt.datetime(1900, 1, 1), dt.datetime(9999, 12, 31))
-ALL_ROWS = (0, 1_000_000_000_000)
 OPTIONS = BuildOptions(as_of=AS_OF)
 
 QUERIES: dict[str, Query] = {}
@@ -292,7 +290,10 @@ def split_line_anti_join(wh):
 
 @on_warehouse
 def line_totals(wh):
-    return claim_amounts(claims_of(wh), wh)
+    sums = claim_amounts(claims_of(wh), wh)
+    return sums.select(
+        "claim_fact_key", *(F.col(c).cast(MONEY).alias(c) for c in sums.columns if c != "claim_fact_key")
+    )
 
 
 QUERIES["claim_amounts"] = QUERIES.pop("line_totals")
@@ -467,14 +468,18 @@ def pipe_record(views):
     return runs.select("claim_fact_key", join_runs(fields).alias("record"))
 
 
-def extract(kind: str, numbers: tuple[int, int], window: tuple[dt.datetime, dt.datetime]) -> Query:
+def extract(
+    kind: str,
+    numbers: tuple[int, int] | None = None,
+    window: tuple[dt.datetime, dt.datetime] | None = None,
+) -> Query:
     return lambda spark, folder: extract_records(
         sample_staging(spark, folder, kind), kind, numbers, window
     )
 
 
-QUERIES["extract_professional"] = extract("professional", ALL_ROWS, ALL_TIME)
-QUERIES["extract_institutional"] = extract("institutional", ALL_ROWS, ALL_TIME)
+QUERIES["extract_professional"] = extract("professional")
+QUERIES["extract_institutional"] = extract("institutional")
 def built_records(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     """From warehouse to records: build, number the lists, stage, extract."""
     wh = sample_warehouse(spark, folder)
@@ -487,7 +492,7 @@ def built_records(spark: SparkSession, folder: str, kind: str) -> DataFrame:
         arrays = clinical.diagnosis_arrays(diagnoses).join(procedures, "claim_fact_key", "full")
     staged = bridge.stage_claims(accepted(getattr(build, kind)), arrays, kind, AS_OF)
     staging = replace(sample_staging(spark, folder, kind), claims=staged)
-    return extract_records(staging, kind, ALL_ROWS, ALL_TIME)
+    return extract_records(staging, kind)
 
 
 @on_spark

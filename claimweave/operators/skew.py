@@ -30,10 +30,10 @@ def salted_join(
 
     Rows of ``big`` with a frequent key get a salt below its number of parts; the matching rows of
     ``small`` are repeated once per part. Every other row keeps salt 0 and is not repeated, and the
-    matches are those of a plain join. Only the frequent keys are broadcast, and their number is
-    bounded by the row count of ``big`` over ``rows_per_task``.
+    matches are those of a plain join. The frequent keys are joined without a hint: they grow with
+    ``big``, so the optimizer decides by their size whether to broadcast them.
     """
-    hot = F.broadcast(frequent_keys(big.select(key), key, rows_per_task))
+    hot = frequent_keys(big.select(key), key, rows_per_task)
     parts = F.coalesce("_parts", F.lit(1))
     spread = big.join(hot, key, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(spread_by), parts).cast("int")

@@ -7,7 +7,6 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -17,15 +16,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back as a parquet table.
 
     The written table cuts the lineage, survives lost executors and still prunes columns. A session
-    on one machine that names no shared folder gets a folder of its own, removed when it ends; a
-    cluster that names none persists the frame, and lost blocks are recomputed.
+    on one machine that names no shared folder gets a folder of its own, removed when it ends; on a
+    cluster the setting is required.
     """
     spark = df.sparkSession
     shared = spark.conf.get(CHECKPOINT_SETTING, None)
     if not shared and spark.sparkContext.master.startswith("local"):
         shared = _own_folder()
     if not shared:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
     path = f"{shared.rstrip('/')}/claimweave/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

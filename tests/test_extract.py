@@ -112,11 +112,3 @@ def test_salted_join_equals_the_plain_join_and_spreads_the_hot_key(spark):
     plain = values(small.join(big, "k"), "k", "name", "line")
     assert values(salted_join(small, big, "k", "line", rows_per_task=100), "k", "name", "line") == plain
     assert values(frequent_keys(big, "k", 100)) == [(7, 11)]
-
-
-def test_salted_extract_equals_the_plain_one(spark):
-    lines = [(1, n) for n in range(40)] + [(2, 100)]
-    data = staged(spark, "PROFESSIONAL", [(1, DAY, 1), (2, DAY, 2)], lines)
-    plain = extract_records(data, "professional", (1, 9), WINDOW)
-    salted = extract_records(data, "professional", (1, 9), WINDOW, rows_per_task=5, ordered=False)
-    assert values(plain) == values(salted)
