@@ -153,10 +153,13 @@ def _stutter(stutter: Column, n: Column) -> Column:
     return 10 * stutter > 3 * n
 
 
-def text_rules(text: Column) -> list[Rule]:
-    """The rules as expressions over a whole text, each on its own, so that each can be skipped."""
+def text_rules(text: Column, words: Column | None = None) -> list[Rule]:
+    """The rules as expressions over a whole text, each on its own, so that each can be skipped.
+
+    `words` is the text's array of words where it is at hand.
+    """
     text = F.coalesce(text, F.lit(""))
-    words = words_of(text)
+    words = words_of(text) if words is None else words
     return [
         Rule("few_words", F.size(words) < 20),
         Rule("word_length", _word_length(word_chars(text), F.size(words))),
@@ -214,8 +217,13 @@ def verdict(rules: list[Rule]) -> Column:
 
 def apply_cascade(docs: DataFrame, sample_rows: int = 1000) -> DataFrame:
     """The rows that no rule rejects, with their columns unchanged."""
-    rules = order_rules(docs.select("text"), text_rules(F.col("text")), sample_rows)
-    return docs.where(verdict(rules).isNull())
+    text = F.col("text")
+    place = {r.name: i for i, r in enumerate(order_rules(docs.select("text"), text_rules(text), sample_rows))}
+
+    def first_rejection(words: Column) -> Column:
+        return verdict(sorted(text_rules(text, words), key=lambda r: place[r.name]))
+
+    return docs.where(bind(words_of(text), first_rejection).isNull())
 
 
 def quality(docs: DataFrame, sample_rows: int = 1000) -> DataFrame:
