@@ -1,18 +1,20 @@
 """Join of documents by the Jaccard similarity of their five-word shingles, by an LSH forest.
 
-Documents with one set of shingles are one text: the join works on such texts, so copies never make
-pairs. Each text has a MinHash signature of TREES x DEPTH values. Every tree lists the texts by its own
-DEPTH values, sorted: the listing is the prefix trie in reading order, range-partitioned, so that a prefix
-shared by a third of all texts spreads over many tasks. A streaming pass meets, for each text, the deepest
-prefix it shares with texts before it, and shortens it step by step down to the length at which the trees
-together reach the target recall for pairs at the threshold; at each length the text is paired with the
-first text that has the prefix, and with the NEAR texts before it. Pairs grow with the number of texts,
-not with the square of a group; within groups of up to NEAR + 1 texts all pairs are met. Sizes and
-signatures drop hopeless pairs; the rest are verified on their whole shingle sets.
-
-Classes are the connected components of the verified links. A large group's texts are linked to
-first texts and neighbours in every tree, which connects it without all of its pairs: n_links counts
-verified links, all of them in small groups.
+Documents with one set of shingles are one text, named by the digest of the set: the join works on such
+texts, so copies never make pairs. Each text has a MinHash signature of TREES x DEPTH values; every tree
+lists the texts by its own DEPTH values, sorted, which is its prefix trie in reading order. Two texts meet
+in a tree at the deepest prefix they share, and prefixes are shortened down to the length at which the trees
+together reach the target recall for pairs at the threshold. Texts that share no such prefix with another are
+left out after a count of narrow rows. The rest is done in two ways that divide the pairs between them:
+
+- Prefixes of up to GROUP texts: a pass over the sorted listing meets all pairs of such a group; sizes
+  and signatures drop hopeless pairs, the rest are verified on their whole shingle sets.
+- Prefixes of more texts: the group is cut into blocks of bounded size by hash, and a task compares two blocks
+  of whole shingle sets. It returns the number of links of each text and the links of a spanning forest, so
+  that rows grow with texts and blocks, not with pairs, and yet every link is verified and counted. A
+  pair is compared in the first tree where it meets, and not at all where the first way has it.
+
+Classes are the connected components of the links.
 
 Shingles are five words (runs without ASCII white space) as they stand; a text of one to four words
 is one shingle. 64-bit hashes stand for shingles.
@@ -41,9 +43,13 @@ SHINGLE = 5
 THRESHOLD = 0.8
 TREES = 8
 DEPTH = 8
-NEAR = 4
 RECALL = 0.99
-#: Ids broadcast to fetch their texts: 16 bytes each, checked by a count; beyond it the join is shuffled.
+#: Texts of a prefix whose pairs are listed; those of larger groups are compared in blocks.
+GROUP = 5
+#: Most texts and shingles of a block, on average; two blocks are in a task's memory.
+BLOCK_TEXTS = 1024
+BLOCK_SHINGLES = 500_000
+#: Keys broadcast to fetch their texts: 16 bytes each, checked by a count; beyond it the join is shuffled.
 BROADCAST_IDS = 1_000_000
 #: Share of equal values a pair's signatures need: four standard deviations below the threshold.
 SKETCH_SHARE = 0.6
@@ -129,21 +135,31 @@ def signatures(docs: DataFrame) -> DataFrame:
     return _texts(docs.where(F.col("doc_id").isNotNull()), emit, f"doc_id {kind}, set_key binary, n long, sig binary")
 
 
-def forest(texts: DataFrame) -> DataFrame:
-    """A row for each tree and text: tree, prefix (the tree's values), id, n, sketch (a byte of each value)."""
-    width = 4 * DEPTH
+def meetings(texts: DataFrame, base: int) -> DataFrame:
+    """set_key, met: the trees in which other texts share its prefix, with the number of texts and blocks."""
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
+    listed = texts.select("set_key", "n", "sig", trees).select(
+        "tree", F.expr(f"substring(sig, tree * {4 * DEPTH} + 1, {4 * base})").alias("prefix"), "set_key", "n"
+    )
+    shared = listed.groupBy("tree", "prefix").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).where("size > 1")
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK_TEXTS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+    shared = shared.select("tree", "prefix", "size", blocks.cast("int").alias("blocks"))
+    met = listed.select("tree", "prefix", "set_key").join(shared, ["tree", "prefix"])
+    return met.groupBy("set_key").agg(F.collect_list(F.struct("tree", "size", "blocks")).alias("met"))
+
+
+def forest(met: DataFrame) -> DataFrame:
+    """A row for each text and tree with a small group: tree, prefix, set_key, n, sketch (a byte of each value)."""
     low = F.concat(*[F.substring("sig", 4 * i + 4, 1) for i in range(TREES * DEPTH)])
-    return texts.select("id", "n", "sig", low.alias("sketch"), trees).select(
-        "tree", F.expr(f"substring(sig, tree * {width} + 1, {width})").alias("prefix"), "id", "n", "sketch"
+    small = F.filter("met", lambda m: m["size"] <= GROUP)
+    width = 4 * DEPTH
+    return met.select("set_key", "n", "sig", low.alias("sketch"), F.explode(small["tree"]).alias("tree")).select(
+        "tree", F.expr(f"substring(sig, tree * {width} + 1, {width})").alias("prefix"), "set_key", "n", "sketch"
     )
 
 
 def candidates(listed: DataFrame, base: int) -> DataFrame:
-    """Pairs a < b met in the sorted listing; `head` rows name the first text of groups at partition ends.
-
-    What a task holds is one Arrow batch, DEPTH first texts and NEAR neighbours.
-    """
+    """Pairs a < b of the groups of a listing that is sorted within its partitions and cuts no group."""
     ones = int.from_bytes(b"\x7f" * (TREES * DEPTH), "big")
     tops = int.from_bytes(b"\x80" * (TREES * DEPTH), "big")
     most = TREES * DEPTH - math.ceil(SKETCH_SHARE * TREES * DEPTH)
@@ -156,80 +172,49 @@ def candidates(listed: DataFrame, base: int) -> DataFrame:
         return ((((d & ones) + ones) | d) & tops).bit_count() <= most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, firsts, near = None, [], []  # firsts[k]: first text with the prefix of length base + k
-        heads: list[tuple] = []
-
-        def batch_of(a, b, keys):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(a, kind), pa.array(b, kind), pa.array(keys, pa.binary())], names=["a", "b", "head"]
-            )
-
-        kind = None
+        before, near = None, []
         for batch in batches:
-            kind = batch.column(2).type
             found: set[tuple] = set()
             columns = [batch.column(i).to_pylist() for i in range(5)]
-            for tree, prefix, ident, n, sketch in zip(*columns, strict=True):
-                text = (ident, n, int.from_bytes(sketch, "big"))
-                key = bytes([tree]) + prefix
-                shared = 0
-                if before is not None and before[: 1 + cut] == key[: 1 + cut]:
-                    shared = base
-                    while shared < DEPTH and before[1 + 4 * shared : 5 + 4 * shared] == key[1 + 4 * shared : 5 + 4 * shared]:
-                        shared += 1
-                if not shared:
-                    firsts, near = [text] * (DEPTH - base + 1), [text]
-                    if len(heads) < 2:
-                        heads.append((key[: 1 + cut], ident))
-                    else:
-                        heads[1] = (key[: 1 + cut], ident)
-                else:
-                    for other in {*firsts[: shared - base + 1], *near}:
-                        if other[0] != ident and alike(text, other):
-                            found.add((min(ident, other[0]), max(ident, other[0])))
-                    firsts[shared - base + 1 :] = [text] * (DEPTH - shared)
-                    near = [*near[1 - NEAR :], text] if NEAR > 1 else [text]
-                before = key
-            if found:
-                a, b = zip(*found, strict=True)
-                yield batch_of(a, b, [None] * len(a))
-        if heads:
-            yield batch_of([h[1] for h in heads], [h[1] for h in heads], [h[0] for h in heads])
-
-    kind = listed.schema["id"].dataType.simpleString()
-    return listed.mapInArrow(run, f"a {kind}, b {kind}, head binary")
-
-
-def candidate_pairs(texts: DataFrame, recall: float = RECALL) -> DataFrame:
-    """Distinct pairs a < b of text ids that the forest meets."""
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    listed = (
-        forest(texts).repartitionByRange(parts, "tree", "prefix", "id").sortWithinPartitions("tree", "prefix", "id")
-    )
-    met = stored(candidates(listed, base_length(recall=recall)), "forest")
-    heads = met.where("head IS NOT NULL")
-    # Groups cut by a partition's end: two rows a partition at most; their first texts are joined up.
-    first = heads.groupBy("head").agg(F.min("a").alias("first"))
-    across = heads.join(first, "head").where("first < a").select(F.col("first").alias("a"), F.col("a").alias("b"))
-    return met.where("head IS NULL").select("a", "b").unionByName(across).distinct()
+            for tree, prefix, key, n, sketch in zip(*columns, strict=True):
+                text = (key, n, int.from_bytes(sketch, "big"))
+                if before != (tree, prefix[:cut]):
+                    before, near = (tree, prefix[:cut]), []
+                found.update((min(key, x[0]), max(key, x[0])) for x in near if alike(text, x))
+                near.append(text)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], names=["a", "b"]
+            )
 
+    return listed.mapInArrow(run, "a binary, b binary")
 
-def verified(pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The pairs whose whole shingle sets have at least the threshold's Jaccard similarity."""
-    pairs = stored(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    ids = stored(ids, "pair-ids")
+
+def candidate_pairs(met: DataFrame, recall: float = RECALL) -> DataFrame:
+    """Distinct pairs a < b of the keys of texts that meet in a small group of some tree."""
+    base = base_length(recall=recall)
+    listed = forest(met).repartition("tree", F.substring("prefix", 1, 4 * base))
+    return candidates(listed.sortWithinPartitions("tree", "prefix", "set_key"), base).distinct()
+
+
+def shingle_sets(texts: DataFrame, keys: DataFrame, docs: DataFrame) -> DataFrame:
+    """set_key, grams of the texts with the given keys; a repeated row of documents may repeat one."""
+    keys = stored(keys, "keys")
+    ids = texts.join(keys, "set_key", "left_semi").select(F.col("id").alias("__id")).distinct()
+    ids = stored(ids, "ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
 
-    def emit(own, sets):
-        return pa.RecordBatch.from_arrays(
-            [own, pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "grams"]
-        )
+    def emit(_, sets):
+        raw = [s.tobytes() for s in sets]
+        digests = [xxhash.xxh3_128_digest(x) for x in raw]
+        return pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(raw, pa.binary())], names=["set_key", "grams"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    wanted = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
-    sets = stored(_texts(wanted, emit, f"doc_id {kind}, grams binary"), "grams")
+    wanted = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("__id"), "left_semi")
+    return _texts(wanted, emit, "set_key binary, grams binary")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The pairs whose whole shingle sets have at least the threshold's Jaccard similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,10 +225,89 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) ->
                 keep.append(both >= threshold * (len(x) + len(y) - both) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
-    left = sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y"))
+    left = sets.select(F.col("set_key").alias("a"), F.col("grams").alias("x"))
+    right = sets.select(F.col("set_key").alias("b"), F.col("grams").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return both.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return both.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def block_links(tree: int, base: int, threshold: float, rows: list[tuple], same: bool) -> list[tuple]:
+    """Links between two blocks of a group, or within one: (a, b, None) of a spanning forest, (a, None, links).
+
+    rows: (set_key, side, big, sig, grams); big has a bit for each tree whose group of the text is large.
+    """
+    keys = [r[0] for r in rows]
+    side = np.array([r[1] for r in rows])
+    big = (np.array([r[2] for r in rows])[:, None] >> np.arange(TREES)) & 1 > 0
+    sig = np.frombuffer(b"".join(r[3] for r in rows), ">u4").astype(np.uint32).reshape(len(rows), -1)
+    size = np.array([len(r[4]) // 8 for r in rows])
+    _, codes = np.unique(np.frombuffer(b"".join(r[4] for r in rows), np.uint64), return_inverse=True)
+    codes = np.split(codes, np.cumsum(size)[:-1])
+    mark = np.zeros(1 + max(int(c.max()) for c in codes), bool)
+    links, part, ties = np.zeros(len(rows), np.int64), np.arange(len(rows)), []
+    least = math.ceil(SKETCH_SHARE * TREES * DEPTH)
+    for i in range(len(rows)):
+        if not same and side[i]:
+            continue
+        near = (size >= threshold * size[i] - 1e-9) & (size[i] >= threshold * size - 1e-9)
+        near &= (np.arange(len(rows)) > i) if same else (side == 1)
+        to = np.flatnonzero(near)
+        equal = sig[to] == sig[i]
+        to, equal = to[alike := equal.sum(axis=1) >= least], equal[alike]
+        meets = equal.reshape(-1, TREES, DEPTH)[:, :, :base].all(axis=2)
+        to = to[~(meets & ~big[i]).any(axis=1) & (meets.argmax(axis=1) == tree)]
+        if not len(to):
+            continue
+        mark[codes[i]] = True
+        both = np.add.reduceat(mark[np.concatenate([codes[j] for j in to])], np.cumsum(size[to]) - size[to], dtype=np.int64)
+        mark[codes[i]] = False
+        to = to[both >= threshold * (size[i] + size[to] - both) - 1e-9]
+        links[i] += len(to)
+        links[to] += 1
+        parts, first = np.unique(part[to], return_index=True)
+        ties += [(min(keys[i], keys[j]), max(keys[i], keys[j]), None) for p, j in zip(parts, to[first], strict=True) if p != part[i]]
+        part[np.isin(part, parts)] = part[i]
+    return ties + [(keys[i], None, int(links[i])) for i in np.flatnonzero(links)]
+
+
+def compared(met: DataFrame, sets: DataFrame, base: int, threshold: float = THRESHOLD) -> DataFrame:
+    """a, b, links: of all large groups, links (a, b, null) that connect what is linked, and counts (a, null, links)."""
+    large = F.filter("met", lambda m: m["size"] > GROUP)
+    big = F.aggregate(large, F.lit(0), lambda bits, m: bits + F.pow(F.lit(2), m["tree"]).cast("int"))
+    rows = met.join(sets, "set_key").select("set_key", "sig", "grams", big.alias("big"), F.explode(large).alias("m"))
+    rows = rows.select(
+        "set_key", "sig", "grams", "big", "m.tree", "m.blocks", F.expr("pmod(xxhash64(set_key), m.blocks)").cast("int").alias("own"),
+        F.expr(f"substring(sig, m.tree * {4 * DEPTH} + 1, {4 * base})").alias("prefix"),
+    )
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = ["tree", "prefix", "x", "y"]
+    rows = rows.select(
+        "tree", "prefix", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+        "set_key", (F.col("own") > F.col("other")).cast("int").alias("side"), "big", "sig", "grams",
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, {}
+
+        def out():
+            found = block_links(now[0], base, threshold, list(held.values()), now[2] == now[3]) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.binary(), pa.binary(), pa.int64()))],
+                names=["a", "b", "links"],
+            )
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:4] != now:
+                    if now:
+                        yield out()
+                    now, held = row[:4], {}
+                held[row[4]] = row[4:]
+        if now:
+            yield out()
+
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(run, "a binary, b binary, links long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -280,10 +344,11 @@ def components(links: DataFrame) -> DataFrame:
 def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """doc_id, class_id, n_links, n_copies of every document.
 
-    class_id is the smallest doc_id of the class; n_links counts verified links of the document's text to
+    class_id is the smallest doc_id of the class; n_links counts the links of the document's text to
     other texts; n_copies counts the rows with its shingles, itself included.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    base = base_length(recall=recall)
     signed = stored(signatures(docs), "signatures")
     texts = stored(
         signed.groupBy("set_key").agg(
@@ -291,15 +356,25 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
         ),
         "texts",
     )
-    links = stored(verified(candidate_pairs(texts, recall), docs, threshold), "links")
-    ends = links.select("a").unionByName(links.select(F.col("b").alias("a")))
-    degree = ends.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("links"))
-    roots = components(links)
+    met = stored(texts.select("set_key", "n", "sig").join(meetings(texts, base), "set_key"), "met")
+    pairs = stored(candidate_pairs(met, recall), "pairs")
+    large = met.where(F.exists("met", lambda m: m["size"] > GROUP))
+    keys = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).union(large.select("set_key")).distinct()
+    sets = stored(shingle_sets(texts, keys, docs), "sets")
+    listed = stored(verified(pairs, sets, threshold), "links")
+    blocks = stored(compared(large, sets, base, threshold), "block-links")
+    ends = listed.select(F.col("a").alias("set_key"), F.lit(1).cast("long").alias("links")).union(
+        listed.select("b", F.lit(1).cast("long"))
+    )
+    degree = ends.union(blocks.where("b IS NULL").select("a", "links")).groupBy("set_key").agg(F.sum("links").alias("links"))
+    roots = components(listed.union(blocks.where("b IS NOT NULL").select("a", "b")).distinct())
+    rooted = texts.select("set_key", "id", "copies").join(roots.withColumnRenamed("id", "set_key"), "set_key", "left")
+    rooted = stored(rooted.withColumn("root", F.coalesce("root", "set_key")), "rooted")
+    smallest = rooted.groupBy("root").agg(F.min("id").alias("class"))
     known = (
-        texts.select("set_key", "id", "copies")
-        .join(degree, "id", "left")
-        .join(roots, "id", "left")
-        .select("set_key", F.coalesce("root", "id").alias("class"), F.coalesce("links", F.lit(0)).alias("links"), "copies")
+        rooted.join(smallest, "root")
+        .join(degree, "set_key", "left")
+        .select("set_key", "class", F.coalesce("links", F.lit(0)).alias("links"), "copies")
     )
     found = (
         signed.select("doc_id", "set_key")

@@ -5,7 +5,6 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
 from claimweave.llm import ngram_join, rules, winnow
 
@@ -72,7 +71,7 @@ def test_join_edge_cases(docs_of):
     assert got == Counter({(5, 3): 3, (7, 5): 1, (3, 3): 1, (None, None): 2})
 
 
-def test_large_groups_stay_whole(docs_of):
+def test_large_groups_stay_whole(docs_of, monkeypatch):
     rng = random.Random(9)
     words = [f"w{i}" for i in range(200)]
     rows = []
@@ -83,13 +82,45 @@ def test_large_groups_stay_whole(docs_of):
         rows.append((i, " ".join(copy)))
     rows += [(1000 + i, " ".join(words)) for i in range(500)] + [(5000 + i, f"word{i} " * 3 + "a b c d") for i in range(50)]
     docs = docs_of(rows).repartition(4)
-    got = {r["doc_id"]: r["class_id"] for r in ngram_join.join(docs).collect()}
-    assert {got[i] for i, _ in rows if i < 5000} == {0}
-    texts = ngram_join.signatures(docs).groupBy("set_key").agg(
-        F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")
-    )
-    pairs = ngram_join.candidate_pairs(texts)
-    assert pairs.count() < 60 * 400  # far from the 79,800 pairs of the group
+    for texts in (1024, 50):  # one block, and many that are compared two by two
+        monkeypatch.setattr(ngram_join, "BLOCK_TEXTS", texts)
+        got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.join(docs).collect()}
+        want, links = classes(rows)
+        assert {i: c for i, (c, _) in got.items()} == want
+        # many pairs are just at the threshold, where the forest reaches its target recall
+        assert all(got[i][1] <= links[i] for i in links)
+        assert sum(n for _, n in got.values()) >= ngram_join.RECALL * sum(links.values())
+
+
+def test_loose_group_keeps_every_link(docs_of):
+    """Members of a large prefix group of which many are no links, in chains of slowly changing texts."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(120):
+        words[rng.randrange(120)] = f"e{i}"
+        rows.append((i, " ".join(words)))
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.join(docs_of(rows)).collect()}
+    want, links = classes(rows)
+    assert {i: c for i, (c, _) in got.items()} == want
+    assert sum(n for _, n in got.values()) >= 0.97 * sum(links.values()) and all(got[i][1] <= links[i] for i in links)
+
+
+def test_large_groups_make_few_rows(docs_of):
+    """Rows of the comparison in blocks grow with texts, not with pairs, and no link is listed twice."""
+    words = [f"w{i}" for i in range(200)]
+    docs = docs_of([(i, " ".join([*words, f"e{i}"])) for i in range(300)])
+    base = ngram_join.base_length()
+    texts = ngram_join.signatures(docs).withColumnRenamed("doc_id", "id")
+    met = texts.join(ngram_join.meetings(texts, base), "set_key")
+    sets = ngram_join.shingle_sets(texts, texts.select("set_key"), docs)
+    found = ngram_join.compared(met, sets, base).collect()
+    assert len(found) < TREES_AND_TEXTS and sum(r["links"] or 0 for r in found) == 300 * 299
+    assert not ngram_join.candidate_pairs(met).count()
+
+
+#: Of 300 texts, each in up to eight trees: one count and one tie for each.
+TREES_AND_TEXTS = 8 * 2 * 300
 
 
 def test_recall_of_the_forest_against_all_pairs(docs_of):
