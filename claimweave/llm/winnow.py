@@ -31,62 +31,74 @@ BROADCAST_FINGERPRINTS = 200_000
 
 def item_words(text: Column) -> Column:
     """Lower-cased (A-Z) words: runs of digits, letters a-z and anything beyond ASCII."""
-    lower = F.translate(
-        F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    text = F.coalesce(text, F.lit(""))
+    plain = F.length(text) == F.octet_length(text)  # ASCII only: lower() is the same and faster
+    lower = F.when(plain, F.lower(text)).otherwise(
+        F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     )
-    return F.filter(F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
+    return F.array_remove(F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
 def word_count(text: Column) -> Column:
-    return F.size(item_words(text)).cast("long")
+    """The number of item words, for which case doesn't matter."""
+    parts = F.split(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    return F.size(F.array_remove(parts, "")).cast("long")
 
 
-def _row(length: int, hash_: Column, start: Column, left: Column, words: Column) -> Column:
-    return F.struct(
-        F.lit(length).alias("length"), hash_.alias("hash"), start.cast("int").alias("start"),
-        left.cast("int").alias("left"), words.alias("words"),
-    )
+def _row(length: int, hash_: Column, start: Column) -> Column:
+    return F.struct(F.lit(length).alias("length"), hash_.alias("hash"), start.cast("int").alias("start"))
+
+
+def _none() -> Column:
+    return F.slice(F.array(_row(0, F.lit(0).cast("long"), F.lit(0))), 1, 0)
 
 
 def winnowed(words: Column) -> Column:
-    """Fingerprints with up to five words on either side: hash, start (from 1), words to the left, words."""
+    """Fingerprints: length 0, hash and start (from 1).
 
-    def context(hashes: Column, at: Column) -> Column:
-        first = F.greatest(at - (SPAN - GRAM), F.lit(1))
-        span = F.slice(words, first, at + SPAN - first)
-        return _row(0, F.get(hashes, at - 1), at, at - first, span)
+    Runs are ordered by the upper half of the hash, then by place, in one number, so that the lowest is the
+    leftmost of equal ones.
+    """
 
     def chosen(hashes: Column) -> Column:
-        lowest = F.transform(
-            F.sequence(F.lit(1), F.size(hashes) - (RUN - 1)),
-            lambda i: bind(
-                F.slice(hashes, i, RUN), lambda run: (F.array_position(run, F.array_min(run)) + i - 1).cast("int")
+        placed = F.transform(hashes, lambda h, i: F.shiftleft(F.shiftright(h, 32), 32) + i)
+        lowest = bind(
+            placed,
+            lambda keys: F.transform(
+                F.sequence(F.lit(1), F.size(keys) - (RUN - 1)), lambda i: F.array_min(F.slice(keys, i, RUN))
             ),
         )
-        return F.transform(F.array_distinct(lowest), lambda at: context(hashes, at))
+        return F.transform(
+            F.array_distinct(lowest),
+            lambda key: _row(0, F.get(hashes, key.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")), key.bitwiseAND(F.lit(0xFFFFFFFF)) + 1),
+        )
 
     hashes = F.transform(
         F.sequence(F.lit(1), F.size(words) - (GRAM - 1)), lambda i: F.xxhash64(F.slice(words, i, GRAM))
     )
-    empty = F.array(_row(0, F.lit(0).cast("long"), F.lit(0), F.lit(0), words))
-    return F.when(F.size(words) < SPAN, F.slice(empty, 1, 0)).otherwise(bind(hashes, chosen))
+    return F.when(F.size(words) < SPAN, _none()).otherwise(bind(hashes, chosen))
 
 
 def whole_grams(words: Column, length: int) -> Column:
     """All n-grams of one length below ten."""
-    empty = F.array(_row(length, F.lit(0).cast("long"), F.lit(0), F.lit(0), words))
-    return F.when(F.size(words) < length, F.slice(empty, 1, 0)).otherwise(
+    return F.when(F.size(words) < length, _none()).otherwise(
         F.transform(
             F.sequence(F.lit(1), F.size(words) - (length - 1)),
-            lambda i: bind(
-                F.slice(words, i, length), lambda gram: _row(length, F.xxhash64(gram), i, F.lit(0), gram)
-            ),
+            lambda i: _row(length, F.xxhash64(F.slice(words, i, length)), i),
         )
     )
 
 
+def _context(words: Column, length: Column, start: Column) -> Column:
+    """left, words: a whole n-gram, or a 5-gram with up to five words on either side and how many are before."""
+    first = F.when(length > 0, start).otherwise(F.greatest(start - (SPAN - GRAM), F.lit(1)))
+    size = F.when(length > 0, length).otherwise(start + SPAN - first)
+    return F.struct((start - first).cast("int").alias("left"), F.slice(words, first, size).alias("words"))
+
+
 def _exploded(texts: DataFrame, key: str, rows: Column) -> DataFrame:
-    return texts.select(key, F.explode(rows).alias("f")).select(key, "f.*")
+    """The key, all words w of the text, and the fingerprints."""
+    return texts.select(key, "w", F.explode(rows).alias("f")).select(key, "w", "f.*")
 
 
 def item_fingerprints(items: DataFrame) -> tuple[DataFrame, list[int]]:
@@ -97,7 +109,8 @@ def item_fingerprints(items: DataFrame) -> tuple[DataFrame, list[int]]:
     found = _exploded(worded.where(size >= SPAN), "item_id", winnowed(F.col("w")))
     for n in short:
         found = found.unionByName(_exploded(worded.where(size == n), "item_id", whole_grams(F.col("w"), n)))
-    return found, short
+    context = _context(F.col("w"), F.col("length"), F.col("start"))
+    return found.select("item_id", "length", "hash", context.alias("context")), short
 
 
 def _hit_words(doc: str, item: str, start: Column) -> Column:
@@ -131,15 +144,18 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     prints, short = item_fingerprints(items)
     n = prints.count()
     side = prints.select(
-        F.col("item_id"), F.col("length").alias("l"), F.col("hash").alias("h"), F.struct("left", "words").alias("i")
+        F.col("item_id"), F.col("length").alias("l"), F.col("hash").alias("h"), F.col("context").alias("i")
     ).distinct()
+    w = F.col("w")
+    rows = F.concat(winnowed(w), *[whole_grams(w, k) for k in short])
+    found = _exploded(docs.select("doc_id", item_words(F.col("text")).alias("w")), "doc_id", rows)
+    same = (F.col("hash") == F.col("h")) & (F.col("length") == F.col("l"))
+    context = _context(w, F.col("length"), F.col("start")).alias("d")
     if n <= BROADCAST_FINGERPRINTS:
-        side = F.broadcast(side)
-    rows = bind(item_words(F.col("text")), lambda w: F.concat(winnowed(w), *[whole_grams(w, k) for k in short]))
-    found = _exploded(docs.select("doc_id", "text"), "doc_id", rows)
-    joined = found.join(side, (F.col("hash") == F.col("h")) & (F.col("length") == F.col("l"))).select(
-        "doc_id", "item_id", "length", "start", F.struct("left", "words").alias("d"), "i"
-    )
+        # no shuffle: contexts are cut out of the texts for matches only
+        joined = found.join(F.broadcast(side), same).select("doc_id", "item_id", "length", "start", context, "i")
+    else:
+        joined = found.select("doc_id", "length", "hash", "start", context).join(side, same)
     short_places = F.when(
         F.col("d.words") == F.col("i.words"), F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)
     ).otherwise(F.slice(F.array(F.lit(0)), 1, 0))
