@@ -8,9 +8,10 @@ rate on held-back sample text, so that languages with samples of another size or
 Automata become dense transition tables that numpy follows for many texts at once. Texts are parsed
 whole, in blocks of BLOCK letters; a phrase ends at a block's end, for every language alike.
 
-Bounds, as parameters: `sample_docs` documents and `sample_chars` characters a language, `languages`
-languages (the most frequent labels), 62 letters in the alphabet. The tables broadcast are 2 x
-sample_chars states x 64 letters x 4 bytes a language at most.
+Bounds, as parameters: `sample_docs` documents, an excerpt of `excerpt` characters from each (its place
+follows from a hash) and `sample_chars` characters a language, `languages` languages (the most frequent
+labels), 62 letters in the alphabet. The tables broadcast are 2 x sample_chars states x 64 letters x 4
+bytes a language at most. They bound what is learned from; what is labelled has no bound.
 
 Cases: a null text, or one without a letter, is `und` with score 0, as is every text where nothing is
 labelled; very long texts are parsed whole; ties go to the label that sorts first; repeated rows are
@@ -39,14 +40,17 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def sample(docs: DataFrame, sample_docs: int, languages: int) -> list[tuple[str, str]]:
-    """(lang, text) of at most `sample_docs` documents for each of the `languages` most frequent labels.
+def sample(docs: DataFrame, sample_docs: int, languages: int, excerpt: int) -> list[tuple[str, str]]:
+    """(lang, excerpt) of at most `sample_docs` documents for each of the `languages` most frequent labels.
 
     Hashes of the text decide, at a rate set by the label's count, so no label's rows meet in one task;
     the documents near the rate are then ranked, a bounded number of rows for each label.
     """
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.select("lang", "text", F.xxhash64("text").alias("h"))
+    start = F.pmod(F.xxhash64("text", F.lit("start")), F.greatest(F.char_length("text") - excerpt + 1, F.lit(1))) + 1
+    known = known.select(
+        "lang", F.substring("text", start.cast("int"), F.lit(excerpt)).alias("text"), F.xxhash64("text").alias("h")
+    )
     counts = known.groupBy("lang").agg(F.count("*").alias("n"))
     top = {r["lang"]: r["n"] for r in counts.orderBy(F.desc("n"), "lang").limit(languages).collect()}
     if not top:
@@ -189,14 +193,19 @@ def _phrases(texts: list[np.ndarray], tables: list[np.ndarray]) -> np.ndarray:
 
 
 def predict(
-    docs: DataFrame, sample_docs: int = 400, sample_chars: int = 24_000, languages: int = 16
+    docs: DataFrame,
+    sample_docs: int = 400,
+    sample_chars: int = 24_000,
+    languages: int = 16,
+    excerpt: int = 4_096,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """doc_id, held_out, lang_pred, score and rate (phrases a letter under the predicted language).
 
-    score is 0.5 where two languages explain the text equally well and nears 1 as the others need more
+    Columns named in `carried` follow as they are. score is 0.5 where two languages explain the text equally well and nears 1 as the others need more
     phrases; 1 where only one language was learned.
     """
-    rows = sample(docs, sample_docs, languages)
+    rows = sample(docs, sample_docs, languages, excerpt)
     model = Model(rows, sample_chars) if rows else None
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -205,7 +214,7 @@ def predict(
         fold = _fold_table(model.letters) if model else None
 
         def apply(part):
-            out = {"doc_id": part["doc_id"], "lang_pred": [], "score": [], "rate": []}
+            out = {c: part[c] for c in ("doc_id", *carried)} | {"lang_pred": [], "score": [], "rate": []}
             texts = [folded(t or "", fold) if model else np.zeros(0, np.uint8) for t in part["text"]]
             counts = _phrases(texts, model.tables) if model else None
             for i, text in enumerate(texts):
@@ -225,8 +234,9 @@ def predict(
 
         return apply
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = map_batches(
-        docs.select("doc_id", "text"), make, f"doc_id {kind}, lang_pred string, score double, rate double", rows=1024
+    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in ("doc_id", *carried)]
+    schema = ", ".join([*kinds, "lang_pred string, score double, rate double"])
+    found = map_batches(docs.select("doc_id", "text", *carried), make, schema, rows=1024)
+    return found.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rate", *carried
     )
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rate")

@@ -138,6 +138,17 @@ def test_recall_of_the_forest_against_all_pairs(docs_of):
     assert linked and sum(got[i] == want[i] for i in linked) >= 0.97 * len(linked)
 
 
+def test_join_at_a_lower_threshold(docs_of):
+    rows = []
+    for g in range(60):
+        words = [f"g{g}w{i}" for i in range(60)]
+        changed = ["changed" if i in (20, 40) else w for i, w in enumerate(words)]  # 46 of 66 shingles shared
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(changed))]
+    low = [r["n_links"] for r in ngram_join.join(docs_of(rows), threshold=0.6).collect()]
+    assert len(low) == 120 and sum(low) >= 0.97 * 120
+    assert sum(r["n_links"] for r in ngram_join.join(docs_of(rows)).collect()) == 0
+
+
 def test_base_length_follows_the_recall():
     assert [ngram_join.base_length(8, 0.8, r) for r in (0.9, 0.99, 0.999)] == [6, 3, 2]
 
@@ -170,3 +181,14 @@ def test_pipeline_stages_on_edge_cases(spark, docs_of):
             assert stage(spark, docs, sf).columns == docs.columns
             stage(spark, docs, sf).collect()
         assert pipeline.STAGES[-1][1](spark, docs, sf).count() == len(rows)
+
+
+def test_pipeline_judges_rows_without_an_id(spark, docs_of):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").limit(150).collect()
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").where("text IS NOT NULL").first()["text"]
+    clean = docs_of([(d["doc_id"], d["text"], d["lang"]) for d in docs] + [(None, "12 34 56 " * 20)])
+    assert pipeline.language_id(spark, clean, sf).where("doc_id IS NULL").count() == 0
+    leaked = docs_of([(None, f"before {item} after"), (None, "quite another text"), (7, item)])
+    assert [r["text"] for r in pipeline.decontamination(spark, leaked, sf).collect()] == ["quite another text"]
