@@ -25,8 +25,9 @@ SPAN = 10  # words of a window
 GRAM = 5
 RUN = SPAN - GRAM + 1  # 5-grams of a window
 
-#: Items whose fingerprints are broadcast: at about 150 bytes each, 30 MB at most.
+#: Fingerprints that are broadcast: this many and this many bytes of ids and context words at most.
 BROADCAST_FINGERPRINTS = 200_000
+BROADCAST_BYTES = 32 << 20
 
 
 def item_words(text: Column) -> Column:
@@ -138,11 +139,12 @@ def _hit_words(doc: str, item: str, start: Column) -> Column:
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id and the places (from 1) of document words that one shared window covers.
 
-    The items' fingerprints are broadcast while there are at most BROADCAST_FINGERPRINTS, counted
-    before; beyond that both sides are shuffled by hash, and adaptive execution splits hot hashes.
+    The items' fingerprints are broadcast while their number and their bytes, both counted before, are
+    within bounds; beyond that both sides are shuffled by hash, and adaptive execution splits hot hashes.
     """
     prints, short = item_fingerprints(items)
-    n = prints.count()
+    held = F.octet_length(F.concat_ws(" ", F.col("item_id").cast("string"), F.col("context.words")))
+    n, size = prints.agg(F.count("*"), F.coalesce(F.sum(held), F.lit(0))).first()
     side = prints.select(
         F.col("item_id"), F.col("length").alias("l"), F.col("hash").alias("h"), F.col("context").alias("i")
     ).distinct()
@@ -151,7 +153,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = _exploded(docs.select("doc_id", item_words(F.col("text")).alias("w")), "doc_id", rows)
     same = (F.col("hash") == F.col("h")) & (F.col("length") == F.col("l"))
     context = _context(w, F.col("length"), F.col("start")).alias("d")
-    if n <= BROADCAST_FINGERPRINTS:
+    if n <= BROADCAST_FINGERPRINTS and size <= BROADCAST_BYTES:
         # no shuffle: contexts are cut out of the texts for matches only
         joined = found.join(F.broadcast(side), same).select("doc_id", "item_id", "length", "start", context, "i")
     else:
