@@ -74,11 +74,11 @@ def shard(docs: DataFrame, shards: int = 40, seed: int = 7) -> DataFrame:
     fraction = in_source.join(sizes, F.col("source").eqNullSafe(F.col("__s"))).select(
         "doc_id", "source", "size", "text_crc32", "shuffle", ((2 * F.col("place") + 1) / (2 * F.col("__n"))).alias("fraction")
     )
-    total = narrow.select(F.count("*").alias("__total"))
-    placed = ranked(fraction, ["fraction", "source", "shuffle", "doc_id"], None, "by-fraction").crossJoin(F.broadcast(total))
-    number = F.expr(f"place * {shards} div __total")
+    placed = ranked(fraction, ["fraction", "source", "shuffle", "doc_id"], None, "by-fraction")
+    total = max(1, docs.count())
+    number = F.expr(f"place * {shards} div {total}L")
     # The first place of shard s is the least p with p * shards >= s * total.
-    first = F.expr(f"(__shard * __total + {shards} - 1) div {shards}")
+    first = F.expr(f"(__shard * {total}L + {shards} - 1) div {shards}")
     return placed.withColumn("__shard", number).select(
         "doc_id",
         "size",
