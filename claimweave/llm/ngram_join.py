@@ -51,8 +51,6 @@ BLOCK_TEXTS = 1024
 BLOCK_SHINGLES = 500_000
 #: Keys broadcast to fetch their texts: 16 bytes each, checked by a count; beyond it the join is shuffled.
 BROADCAST_IDS = 1_000_000
-#: Share of equal values a pair's signatures need: four standard deviations below the threshold.
-SKETCH_SHARE = 0.6
 _CHUNK = 4096
 _WORDS = re.compile(WORD)
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], dtype=np.uint64)
@@ -63,6 +61,12 @@ def base_length(trees: int = TREES, threshold: float = THRESHOLD, recall: float
     return max([1, *(x for x in range(1, depth + 1) if 1 - (1 - threshold**x) ** trees >= recall)])
 
 
+def least_equal(threshold: float = THRESHOLD) -> int:
+    """Equal values that a pair's signatures need: four standard deviations below the threshold's share."""
+    n = TREES * DEPTH
+    return max(0, math.ceil(threshold * n - 4 * math.sqrt(n * threshold * (1 - threshold))))
+
+
 class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
         h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
@@ -158,15 +162,15 @@ def forest(met: DataFrame) -> DataFrame:
     )
 
 
-def candidates(listed: DataFrame, base: int) -> DataFrame:
+def candidates(listed: DataFrame, base: int, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs a < b of the groups of a listing that is sorted within its partitions and cuts no group."""
     ones = int.from_bytes(b"\x7f" * (TREES * DEPTH), "big")
     tops = int.from_bytes(b"\x80" * (TREES * DEPTH), "big")
-    most = TREES * DEPTH - math.ceil(SKETCH_SHARE * TREES * DEPTH)
+    most = TREES * DEPTH - least_equal(threshold)
     cut = 4 * base
 
     def alike(x: tuple, y: tuple) -> bool:
-        if x[1] < THRESHOLD * y[1] or y[1] < THRESHOLD * x[1]:
+        if x[1] < threshold * y[1] - 1e-9 or y[1] < threshold * x[1] - 1e-9:
             return False
         d = x[2] ^ y[2]
         return ((((d & ones) + ones) | d) & tops).bit_count() <= most
@@ -189,11 +193,11 @@ def candidates(listed: DataFrame, base: int) -> DataFrame:
     return listed.mapInArrow(run, "a binary, b binary")
 
 
-def candidate_pairs(met: DataFrame, recall: float = RECALL) -> DataFrame:
+def candidate_pairs(met: DataFrame, recall: float = RECALL, threshold: float = THRESHOLD) -> DataFrame:
     """Distinct pairs a < b of the keys of texts that meet in a small group of some tree."""
-    base = base_length(recall=recall)
+    base = base_length(threshold=threshold, recall=recall)
     listed = forest(met).repartition("tree", F.substring("prefix", 1, 4 * base))
-    return candidates(listed.sortWithinPartitions("tree", "prefix", "set_key"), base).distinct()
+    return candidates(listed.sortWithinPartitions("tree", "prefix", "set_key"), base, threshold).distinct()
 
 
 def shingle_sets(texts: DataFrame, keys: DataFrame, docs: DataFrame) -> DataFrame:
@@ -245,7 +249,7 @@ def block_links(tree: int, base: int, threshold: float, rows: list[tuple], same:
     codes = np.split(codes, np.cumsum(size)[:-1])
     mark = np.zeros(1 + max(int(c.max()) for c in codes), bool)
     links, part, ties = np.zeros(len(rows), np.int64), np.arange(len(rows)), []
-    least = math.ceil(SKETCH_SHARE * TREES * DEPTH)
+    least = least_equal(threshold)
     for i in range(len(rows)):
         if not same and side[i]:
             continue
@@ -348,7 +352,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
     other texts; n_copies counts the rows with its shingles, itself included.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    base = base_length(recall=recall)
+    base = base_length(threshold=threshold, recall=recall)
     signed = stored(signatures(docs), "signatures")
     texts = stored(
         signed.groupBy("set_key").agg(
@@ -357,7 +361,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
         "texts",
     )
     met = stored(texts.select("set_key", "n", "sig").join(meetings(texts, base), "set_key"), "met")
-    pairs = stored(candidate_pairs(met, recall), "pairs")
+    pairs = stored(candidate_pairs(met, recall, threshold), "pairs")
     large = met.where(F.exists("met", lambda m: m["size"] > GROUP))
     keys = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).union(large.select("set_key")).distinct()
     sets = stored(shingle_sets(texts, keys, docs), "sets")
