@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last
 return the columns of docs. A null or empty text fails the rules. Repeated rows of one doc_id stay or go
-together; extra columns pass through the first four stages.
+together; rows without a doc_id are judged by their text, and the near-duplicate stage, which has no
+name for them, keeps them; extra columns pass through the first four stages.
 """
 
 from __future__ import annotations
@@ -18,10 +19,19 @@ from claimweave.llm.common import stored, table
 MAX_RATE = 0.5
 
 
-def _without(docs: DataFrame, found: DataFrame, go: str) -> DataFrame:
-    """The rows of docs but those whose doc_id has a row in `found` for which `go` holds."""
-    ids = found.where(go).select(F.col("doc_id").alias("__go")).where("__go IS NOT NULL").distinct()
-    return docs.join(ids, F.col("doc_id") == F.col("__go"), "left_anti")
+KEY = "__document"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a name that is never null: the doc_id, or the digest of the text where there is none."""
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    name = F.concat(F.lit("id:"), F.col("doc_id").cast("string"))
+    return docs.withColumn(KEY, F.coalesce(name, F.concat(F.lit("text:"), digest)))
+
+
+def _without(keyed: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of `keyed` but those named in `gone`."""
+    return keyed.join(gone.select(KEY).distinct(), KEY, "left_anti").drop(KEY)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +41,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language: those that are `und` or that no language explains go."""
-    return _without(docs, langid.predict(docs), f"lang_pred = 'und' OR rate > {MAX_RATE}")
+    keyed = _keyed(docs)
+    found = langid.predict(keyed, carried=(KEY,))
+    return _without(keyed, found.where(f"lang_pred = 'und' OR rate > {MAX_RATE}"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +53,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window."""
-    found = winnow.hits(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found, "TRUE")
+    keyed = _keyed(docs)
+    found = winnow.hits(keyed.withColumn("doc_id", F.col(KEY)), table(spark, sf_dir, "benchmark"))
+    return _without(keyed, found.withColumnRenamed("doc_id", KEY))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
