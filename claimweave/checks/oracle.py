@@ -456,8 +456,9 @@ INSTITUTIONAL_JOINS = joined(
     ("want_other_list", "l1"), ("want_cause_list", "l2"), ("want_reason_list", "l3"),
     ("want_procedure_list", "l4"),
 )
-BAD_NPI = (
-    f"not ({number_ok('r.npi', 'decimal(10,0)')} and {number_ok('f.npi', 'decimal(10,0)')})"
+LIABILITY_OK = number_ok("t.claim_patient_liability_amount", "decimal(10,2)")
+BAD_NUMBER = (
+    f"not ({number_ok('r.npi', 'decimal(10,0)')} and {number_ok('f.npi', 'decimal(10,0)')} and {LIABILITY_OK})"
 )
 INSTITUTIONAL_FROM = (
     f"from want_header h\n{INSTITUTIONAL_JOINS}\n"
@@ -465,21 +466,41 @@ INSTITUTIONAL_FROM = (
 )
 CDS_INSTITUTIONAL = (
     wide_select("INSTITUTIONAL", institutional_expressions())
-    + f"\n{INSTITUTIONAL_FROM} and not ({BAD_NPI})"
+    + f"\n{INSTITUTIONAL_FROM} and not ({BAD_NUMBER})"
 )
 REJECTED_INSTITUTIONAL = f"""
     select cast(h.claim_fact_key as decimal(19,0)) as "CLAIM_FACT_KEY", h.claim_id as "CLAIM_ID",
         upper(h.claim_type_name) as "CLAIM_TYPE_NAME", concat_ws(',',
         case when not {number_ok("r.npi", "decimal(10,0)")} then 'RENDERING_NPI' end,
-        case when not {number_ok("f.npi", "decimal(10,0)")} then 'REFERRING_NPI' end)
+        case when not {number_ok("f.npi", "decimal(10,0)")} then 'REFERRING_NPI' end,
+        case when not {LIABILITY_OK} then 'CLAIM_PATIENT_LIABILITY_AMOUNT' end)
         as reject_reason
-    {INSTITUTIONAL_FROM} and {BAD_NPI}"""
-CDS_PROFESSIONAL = (
-    wide_select("PROFESSIONAL", professional_expressions())
-    + "\nfrom want_header h\n"
+    {INSTITUTIONAL_FROM} and {BAD_NUMBER}"""
+PROFESSIONAL_FROM = (
+    "from want_header h\n"
     + joined(*SHARED_JOINS, ("want_payment", "y"), ("want_plain_list", "l1"))
     + "\nwhere upper(h.claim_type_name) = 'PROFESSIONAL'"
 )
+CDS_PROFESSIONAL = (
+    wide_select("PROFESSIONAL", professional_expressions())
+    + f"\n{PROFESSIONAL_FROM} and {LIABILITY_OK}"
+)
+REJECTED_PROFESSIONAL = f"""
+    select cast(h.claim_fact_key as decimal(19,0)) as "CLAIM_FACT_KEY", h.claim_id as "CLAIM_ID",
+        upper(h.claim_type_name) as "CLAIM_TYPE_NAME",
+        'CLAIM_PATIENT_LIABILITY_AMOUNT' as reject_reason
+    {PROFESSIONAL_FROM} and not {LIABILITY_OK}"""
+
+
+def overflow_sql(lists: list[tuple[str, str, int]]) -> str:
+    """Claims with more list entries than slots; lists are (table, list name, slots)."""
+    return " union all ".join(
+        f"select claim_fact_key, '{name}' as list, count(*) as entries, count(*) - {slots} as without_slot "
+        f"from {table} group by claim_fact_key having count(*) > {slots}"
+        for table, name, slots in lists
+    )
+
+
 
 BILL_CODE = "left(replace(ltrim(replace(c.\"BILL_TYPE\", '0', ' ')), ' ', '0'), 2)"
 CROSSWALK = (
@@ -675,6 +696,19 @@ FINAL = {
     "cds_institutional": CDS_INSTITUTIONAL,
     "cds_professional": CDS_PROFESSIONAL,
     "cds_rejected": REJECTED_INSTITUTIONAL,
+    "cds_rejected_professional": REJECTED_PROFESSIONAL,
+    "cds_selected": f"""select * from ({CDS_PROFESSIONAL}) w where w."CLAIM_FACT_KEY" in
+        (select previous_final_claim_fact_key from all_claim_fact)""",
+    "claim_copies": """select claim_fact_key, count(*) as copies from want_header
+        group by claim_fact_key having count(*) > 1""",
+    "slot_overflow": overflow_sql(
+        [
+            ("want_other_items", "other_diagnosis", 24), ("want_cause_items", "external_cause", 12),
+            ("want_reason_items", "reason_for_visit", 3), ("want_procedure_items", "other_procedure", 24),
+        ]
+    ),
+    "lookup_copies": """select code, count(*) as copies from lookup
+        where int_id = 'INT005' and type = 'BILL_TYPE' group by code""",
     "pipe_record": """select c.claim_fact_key, concat_ws('|', coalesce(c."PAYER_SHORT", ''),
         coalesce(c."CLAIM_TYPE", ''), coalesce(strftime(c."PATIENT_DOB", '%Y%m%d'), ''),
         coalesce(cast(c."PATIENT_WEIGHT" as varchar), ''), coalesce(c."CLAIM_ID", '')) as record

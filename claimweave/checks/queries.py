@@ -36,7 +36,7 @@ from claimweave.operators.records import join_runs, render_runs
 from claimweave.plans import bridge, clinical, header, member, provider
 from claimweave.plans.amounts import MONEY, claim_amounts
 from claimweave.plans.assemble import BuildOptions, accepted, build_claims, rejected
-from claimweave.plans.extract import extract_records, translate_bill_type
+from claimweave.plans.extract import extract_records, lookup_copies, translate_bill_type
 from claimweave.plans.records import Field
 from claimweave.sources import Warehouse
 from claimweave.sources.sample import SampleViews, sample_staging, sample_warehouse
@@ -416,6 +416,12 @@ def slots_professional(wh):
     return bridge.slot_columns(plain_arrays(wh), bridge.PROFESSIONAL_SLOTS)
 
 
+@on_warehouse
+def slot_overflow(wh):
+    arrays = diagnosis_arrays(wh).join(procedure_arrays(wh), "claim_fact_key", "full")
+    return bridge.slot_overflow(arrays, bridge.INSTITUTIONAL_SLOTS)
+
+
 # Whole builds.
 
 
@@ -444,6 +450,23 @@ def cds_rejected(wh):
     return rejected(build_claims(wh, PAYER, options=OPTIONS).institutional)
 
 
+@on_warehouse
+def cds_rejected_professional(wh):
+    return rejected(build_claims(wh, PAYER, options=OPTIONS).professional)
+
+
+@on_warehouse
+def cds_selected(wh):
+    """The professional claims that another claim replaces, built by their keys."""
+    keys = wh["all_claim_fact"].select(F.col("previous_final_claim_fact_key").alias("claim_fact_key"))
+    return accepted(build_claims(wh, PAYER, keys.distinct(), OPTIONS).professional)
+
+
+@on_warehouse
+def claim_copies(wh):
+    return header.claim_copies(claims_of(wh))
+
+
 # Extracts.
 
 
@@ -455,6 +478,14 @@ def bill_type_crosswalk(views):
     return translate_bill_type(claims, views["lookup"], "translated")
 
 
+@on_views
+def code_copies(views):
+    return lookup_copies(views["lookup"])
+
+
+QUERIES["lookup_copies"] = QUERIES.pop("code_copies")
+
+
 @on_views
 def pipe_record(views):
     fields = [

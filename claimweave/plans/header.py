@@ -140,3 +140,9 @@ def claim_details(
         "sub_medicare_id",
         "date_adjudicated",
     )
+
+
+def claim_copies(header: DataFrame) -> DataFrame:
+    """claim_fact_key, copies of the claims with several header rows, as several id rows make them."""
+    counts = header.groupBy("claim_fact_key").agg(F.count(F.lit(1)).alias("copies"))
+    return counts.filter("copies > 1")

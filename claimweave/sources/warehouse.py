@@ -100,5 +100,14 @@ class Staging:
                 raise ValueError(f"unknown staging table {name!r}")
             return spark.read.format(fmt).load(f"{root}/{name}")
 
+        return cls._from(read, kind)
+
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str, claim_type: str) -> Staging:
+        """Staging tables of a database of the session's catalog, under the names that files have."""
+        return cls._from(lambda name: spark.table(f"{database}.{name}"), claim_type.lower())
+
+    @classmethod
+    def _from(cls, read: Callable[[str], DataFrame], kind: str) -> Staging:
         lookup = read("lookup") if kind == "institutional" else None
         return cls(read("audit"), read(f"claims_{kind}"), read(f"lines_{kind}"), lookup)
