@@ -58,21 +58,23 @@ def _cut_by_year(
 ) -> tuple[DataFrame, DataFrame]:
     """Give both sides a year to join on, so a key with very many versions is met in parts.
 
-    A version of a dense key is repeated once per year it touches, and exactly one of the copies
-    has the year of a matching left row. Other keys get one common year and are not repeated. The
-    dense keys are broadcast; there are fewer than history rows over ``dense``.
+    A version of a dense key is repeated once per year it touches, up to the latest year that a left
+    row asks for (one narrow aggregate), and exactly one of the copies has the year of a matching left
+    row. Other keys get one common year and are not repeated. There are fewer dense keys than history
+    rows over ``dense``; their size decides how they are joined.
     """
+    latest = left.agg(F.max(_year(as_of))).first()[0] or 0
     hot = frequent_keys(versions.select("_key"), "_key", dense).select(
         F.col("_key").alias("_dense_key")
     )
-    hot = F.broadcast(hot)
 
     def marked(df: DataFrame, key: str) -> DataFrame:
         return df.join(hot, df[key] == hot["_dense_key"], "left")
 
     is_dense = F.col("_dense_key").isNotNull()
     no_year = F.lit(-1)
-    years = F.sequence(_year("_from"), _year("_to"))
+    end = F.least(_year("_to"), F.lit(latest))
+    years = F.sequence(_year("_from"), F.greatest(_year("_from"), end))
     cut = marked(versions, "_key").withColumn(
         "_year", F.explode(F.when(is_dense, years).otherwise(F.array(no_year)))
     )

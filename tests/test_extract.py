@@ -112,3 +112,27 @@ def test_salted_join_equals_the_plain_join_and_spreads_the_hot_key(spark):
     plain = values(small.join(big, "k"), "k", "name", "line")
     assert values(salted_join(small, big, "k", "line", rows_per_task=100), "k", "name", "line") == plain
     assert values(frequent_keys(big, "k", 100)) == [(7, 11)]
+
+
+def test_staging_from_files_and_from_the_catalog_give_the_same_records(spark, tmp_path):
+    base = staged(spark, "INSTITUTIONAL", [(1, DAY, 1, "0110")], [(1, 10), (1, 11)])
+    parts = {
+        "audit": base.audit, "claims_institutional": base.claims,
+        "lines_institutional": base.lines, "lookup": base.lookup,
+    }
+    spark.sql(f"create database staging_trial location '{tmp_path}/database'")
+    for name, frame in parts.items():
+        frame.write.parquet(f"{tmp_path}/{name}")
+        spark.sql(f"create table staging_trial.{name} using parquet location '{tmp_path}/{name}'")
+    try:
+        got = [
+            values(extract_records(source, "institutional"))
+            for source in (
+                base,
+                Staging.from_files(spark, str(tmp_path), "institutional"),
+                Staging.from_catalog(spark, "staging_trial", "institutional"),
+            )
+        ]
+    finally:
+        spark.sql("drop database staging_trial cascade")
+    assert got[0] and got[0] == got[1] == got[2]
