@@ -30,7 +30,7 @@ def op1_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.predict(table(spark, sf_dir, "documents"))
+    return langid.predict(table(spark, sf_dir, "documents")).drop("usual_rate")
 
 
 def op3_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:

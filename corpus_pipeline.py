@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from claimweave.llm import bpe, langid, ngram_join, rules, winnow
 from claimweave.llm.common import stored, table
 
-#: Phrases a letter beyond which no learned language explains a text; prose needs a fifth of a phrase.
-MAX_RATE = 0.5
+#: How far from the language's usual rate of phrases a letter to 1, where each letter stands alone, a text may
+#: lie: beyond it no learned language explains the text. Where prose needs a fifth of a phrase that is 0.5.
+MAX_EXCESS = 0.375
 
 
 KEY = "__document"
@@ -43,7 +44,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language: those that are `und` or that no language explains go."""
     keyed = _keyed(docs)
     found = langid.predict(keyed, carried=(KEY,))
-    return _without(keyed, found.where(f"lang_pred = 'und' OR rate > {MAX_RATE}"))
+    return _without(keyed, found.where(f"lang_pred = 'und' OR rate > usual_rate + {MAX_EXCESS} * (1 - usual_rate)"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -120,6 +120,52 @@ def test_language_edge_cases(docs_of):
     assert {r["lang_pred"] for r in langid.predict(docs_of([(1, "abc"), (2, "x")])).collect()} == {"und"}
 
 
+def words_in(letters, rng, n=300):
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 5))) for _ in range(n)]
+    return lambda k: " ".join(rng.choice(words) for _ in range(k))
+
+
+def test_every_label_and_every_letter_is_learned(docs_of):
+    rng = random.Random(3)
+    latin = "abcdefghijklmnopqrstuvwxyz"
+    many = {f"l{i:02}": words_in(rng.sample(latin, 12), rng, 60) for i in range(18)}
+    many["ko"] = words_in([chr(0xAC00 + 9 * i) for i in range(900)], rng)
+    many["zh"] = words_in([chr(0x4E00 + 7 * i) for i in range(900)], rng)
+    sizes = {lang: 60 - 2 * i for i, lang in enumerate(many)}
+    sizes["l17"] = 4  # too few to set texts aside
+    truth = [(lang, many[lang](60)) for lang in many for _ in range(sizes[lang])]
+    docs = [(i, text, lang) for i, (lang, text) in enumerate(truth)]
+    asked = [(1000 + i, many[lang](40), None) for i, lang in enumerate(many)] + [(2000, "".join(chr(0x0E01 + i % 40) + " " * (i % 6 == 5) for i in range(90)), None)]
+    got = {r["doc_id"]: r for r in langid.predict(docs_of(docs + asked)).collect()}
+    assert [got[1000 + i]["lang_pred"] for i in range(len(many))] == list(many)
+    own = [got[i] for i in range(len(truth)) if i in got] + [got[1000 + i] for i in range(len(many))]
+    assert all(r["rate"] <= r["usual_rate"] + 0.375 * (1 - r["usual_rate"]) for r in own)
+    assert got[2000]["rate"] > 0.8
+
+
+def test_pipeline_keeps_languages_of_many_letters(spark, docs_of):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(5)
+    speak = words_in([chr(0xAC00 + 9 * i) for i in range(900)], rng, 2000)
+    english = words_in("abcdefghijklmnopqrstuvwxyz", rng, 200)
+    rows = [(i, english(60), "en") for i in range(60)] + [(100 + i, speak(60), "ko") for i in range(60)]
+    rows.append((300, "".join(chr(0x0E01 + i % 40) + " " * (i % 6 == 5) for i in range(90)), None))
+    kept = {r["doc_id"] for r in pipeline.language_id(spark, docs_of(rows), "").collect()}
+    assert kept == {r[0] for r in rows} - {300}
+
+
+def test_packed_tables_hold_the_automaton():
+    rng = random.Random(7)
+    for width in (4, 40, 3000):
+        sequence = [rng.randrange(width) for _ in range(4000)]
+        step = langid.suffix_automaton(sequence)
+        packed = langid.Packed(step, width)
+        for i, row in enumerate(step):
+            cells = [packed.base[i] + c for c in range(width)] if i < 200 else [packed.base[i] + c for c in row]
+            letters = range(width) if i < 200 else row
+            assert [packed.next[x] if packed.owner[x] == i else None for x in cells] == [row.get(c) for c in letters]
+
+
 def test_automaton_accepts_exactly_the_substrings():
     rng = random.Random(6)
     for _ in range(30):
