@@ -9,7 +9,7 @@ Automata become packed transition tables that numpy follows for many texts at on
 whole, in blocks of BLOCK letters; a phrase ends at a block's end, for every language alike. Every label is
 learned, and the alphabet holds every letter of every sample, whatever the script.
 
-Bounds, as parameters: `sample_docs` documents, an excerpt of `excerpt` characters from each (its place
+Bounds, as parameters: `sample_docs` distinct texts, an excerpt of `excerpt` characters from each (its place
 follows from a hash) and `sample_chars` characters a language. The driver holds the excerpts of all labels, and
 the tables broadcast have at most 3 x sample_chars transitions a language, so both grow with the number of
 labels, as does the time for a text. They bound what is learned from; what is labelled has no bound.
@@ -41,22 +41,23 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, sample_docs: int, excerpt: int) -> list[tuple[str, str]]:
-    """(lang, excerpt) of at most `sample_docs` documents for each label.
+    """(lang, excerpt) of at most `sample_docs` distinct texts for each label.
 
-    Hashes of the text decide, at a rate set by the label's count, so no label's rows meet in
-    one task; the documents near the rate are then ranked, a bounded number for each label.
+    Hashes of the text decide, at a rate set by the label's count of distinct texts, so no label's rows meet in
+    one task; the texts near the rate are then ranked, a bounded number for each label.
     """
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     start = F.pmod(F.xxhash64("text", F.lit("start")), F.greatest(F.char_length("text") - excerpt + 1, F.lit(1))) + 1
     known = known.select(
         "lang", F.substring("text", start.cast("int"), F.lit(excerpt)).alias("text"), F.xxhash64("text").alias("h")
     )
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()
     if not counts:
         return []
     shares = [(r["lang"], min(1.0, 2.0 * sample_docs / max(1, r["n"]))) for r in counts]
     shares = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share double"))
     near = known.join(shares, "lang").where((F.pmod("h", F.lit(1 << 30)) / float(1 << 30)) < F.col("share"))
+    near = near.groupBy("lang", "h").agg(F.min("text").alias("text"))
     place = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h")
     rows = near.withColumn("r", F.row_number().over(place)).where(F.col("r") <= sample_docs)
     return [(r["lang"], r["text"]) for r in rows.orderBy("lang", "r").select("lang", "text").collect()]

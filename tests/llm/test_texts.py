@@ -154,6 +154,12 @@ def test_pipeline_keeps_languages_of_many_letters(spark, docs_of):
     assert kept == {r[0] for r in rows} - {300}
 
 
+def test_copies_take_one_place_of_the_sample(docs_of):
+    rows = [(i, "copied words", "en") for i in range(3000)] + [(5000 + i, f"text number {i}", "en") for i in range(60)]
+    learned = [t for _, t in langid.sample(docs_of(rows), 20, 4096)]
+    assert len(learned) == len(set(learned)) == 20
+
+
 def test_packed_tables_hold_the_automaton():
     rng = random.Random(7)
     for width in (4, 40, 3000):
