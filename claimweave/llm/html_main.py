@@ -2,13 +2,14 @@
 
 A page becomes blocks of text in page order, each with its root-to-leaf path of block-level tags and
 class names. Text length and punctuation are summed per path and divided by the path's blocks; the two
-ratios, read in page order, are smoothed by a Gaussian, fused into one score and damped by the share of
-link text; paths whose mean score passes a threshold set by the page's own spread are content. What lies
+ratios, read in page order, are smoothed by a Gaussian, fused into one score, damped by the share of
+link text and raised in <article> and <main> by the share of the page's text that the outermost one holds; paths whose mean score passes a threshold set by the page's own spread are content. What lies
 in the content's container and isn't furniture goes with it: a short paragraph or a heading has the
-same container as the long ones.
+same container as the long ones. So does what comes before the content's end in the <article> or <main> around it.
 
-Furniture is what the page itself names so: tags (nav, header, footer, aside, form ...), roles, hidden
-elements, and class or id words (ad, cookie, sidebar, comments ...).
+Furniture is what the page itself names so: tags (nav, header, footer, aside ...), roles, hidden elements,
+and class or id words (ad, cookie, sidebar, comments ...; an <article> by words of comments only). A form, or an
+element named by such a word, that has elements of text and most of the page's text is no furniture.
 
 Cases: null and empty html, and pages without text, give an empty text; unclosed, stray and unknown tags,
 and tags cut off by the end, are read as browsers do, roughly; one pass over a page takes time in
@@ -36,11 +37,11 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title noembed noframes xmp".split())
 FURNITURE = frozenset(
-    "nav header footer aside form menu dialog button select option fieldset datalist svg math canvas object audio "
+    "nav header footer aside menu dialog button select option fieldset datalist svg math canvas object audio "
     "video applet map head frameset".split()
 )
 FURNITURE_ROLES = frozenset(
-    "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split()
+    "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split()
 )
 FURNITURE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion banner "
@@ -49,6 +50,7 @@ FURNITURE_WORDS = frozenset(
     "disqus replies share sharing social related recommended newsletter subscribe subscription signup login popup "
     "modal overlay widget widgets toolbar pagination pager copyright disclaimer outbrain taboola alert".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist respond discussion disqus replies".split())
 #: A start tag of the key ends an open element of these names.
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -71,7 +73,9 @@ class Block:
     text: str
     path: int
     linked: int
-    article: int
+    article: int  # number of the innermost <article> or <main>, 0 for none
+    named: int  # number of the innermost element that a name makes furniture, 0 for none
+    deep: bool  # whether the text lies in an element within that one
 
 
 @dataclass
@@ -81,14 +85,18 @@ class _Open:
     furniture: bool
     linked: bool
     article: int
+    named: int
+    names: bool = False
 
 
 @dataclass
 class Page:
-    """Blocks of a page, and its paths as (parent, label) by number."""
+    """Blocks of a page, its paths as (parent, label), and the parents of its articles and named elements, by number."""
 
     blocks: list[Block] = field(default_factory=list)
     paths: list[tuple[int, str]] = field(default_factory=lambda: [(-1, "")])
+    articles: list[int] = field(default_factory=lambda: [0])
+    named: list[int] = field(default_factory=lambda: [0])
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -106,18 +114,44 @@ def _is_furniture(tag: str, attributes: dict[str, str]) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I):
         return True
+    return False
+
+
+def _is_named(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether an element is furniture by a word, or as a form, unless it holds most of the page's text."""
+    if tag == "form" or attributes.get("role", "").lower() == "form":
+        return True
+    if not attributes or tag in ("html", "body", "main"):
+        return False
     words = _WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")
-    return any(w.lower() in FURNITURE_WORDS for w in words)
+    return any(w.lower() in (COMMENT_WORDS if tag == "article" else FURNITURE_WORDS) for w in words)
+
+
+def _without_named(page: Page) -> list[Block]:
+    """The blocks but those in a named element; one that has elements of text and most of the page's text stays."""
+    held = [0] * len(page.named)
+    deep = [False] * len(page.named)
+    for b in page.blocks:
+        held[b.named] += len(b.text)
+        deep[b.named] |= b.deep
+    total = sum(held)
+    for e in range(len(held) - 1, 0, -1):
+        held[page.named[e]] += held[e]
+        deep[page.named[e]] = True
+    gone = [False] * len(held)
+    for e in range(1, len(held)):
+        gone[e] = gone[page.named[e]] or not (deep[e] and 2 * held[e] > total)
+    return [b for b in page.blocks if not gone[b.named]]
 
 
 def read_page(source: str) -> Page:
-    """Blocks of text outside furniture."""
+    """Blocks of text outside furniture; those in named elements are among them."""
     page = Page()
     known: dict[tuple[int, str], int] = {}
-    stack = [_Open("", 0, False, False, 0)]
+    stack = [_Open("", 0, False, False, 0, 0)]
     count: Counter[str] = Counter()
     pieces: list[str] = []
-    linked = articles = 0
+    linked = 0
     at = 0
     end = len(source)
 
@@ -127,7 +161,8 @@ def read_page(source: str) -> Page:
             text = " ".join("".join(pieces).split())
             if text:
                 block = next((e for e in reversed(stack) if e.tag not in INLINE), stack[0])
-                page.blocks.append(Block(text, block.path, linked, block.article))
+                deep = block.named > 0 and not block.names
+                page.blocks.append(Block(text, block.path, linked, block.article, block.named, deep))
             pieces.clear()
         linked = 0
 
@@ -194,15 +229,22 @@ def read_page(source: str) -> Page:
             if not path:
                 path = known[key] = len(page.paths)
                 page.paths.append(key)
+        article, named, names = top.article, top.named, False
         if tag in ("article", "main"):
-            articles += 1
+            article = len(page.articles)
+            page.articles.append(top.article)
+        if _is_named(tag, attributes):
+            named, names = len(page.named), True
+            page.named.append(top.named)
         stack.append(
             _Open(
                 tag,
                 path,
                 top.furniture or _is_furniture(tag, attributes),
                 top.linked or tag == "a",
-                articles if tag in ("article", "main") else top.article,
+                article,
+                named,
+                names,
             )
         )
         count[tag] += 1
@@ -224,6 +266,14 @@ def _smoothed(values: list[float], sigma: float = 1.0) -> list[float]:
     return out
 
 
+def _outermost(page: Page) -> list[int]:
+    """For every <article> or <main> the outermost one around it, which may be itself."""
+    outer = [0] * len(page.articles)
+    for a in range(1, len(outer)):
+        outer[a] = outer[page.articles[a]] or a
+    return outer
+
+
 def content_paths(page: Page, blocks: list[Block], strictness: float = 0.5) -> set[int]:
     """Paths whose fused ratio passes the threshold."""
     n: Counter[int] = Counter()
@@ -237,10 +287,17 @@ def content_paths(page: Page, blocks: list[Block], strictness: float = 0.5) -> s
         links[b.path] += b.linked
     lengths = _smoothed([chars[b.path] / n[b.path] for b in blocks])
     stops = _smoothed([marks[b.path] / n[b.path] for b in blocks])
+    outer = _outermost(page)
+    held: Counter[int] = Counter()
+    for b in blocks:
+        held[outer[b.article]] += len(b.text)
+    total = sum(held.values())
+    held[0] = 0
     score: Counter[int] = Counter()
     for b, length, stop in zip(blocks, lengths, stops, strict=True):
         share = min(1.0, links[b.path] / max(1, chars[b.path]))
-        score[b.path] += math.sqrt(length * (stop + 0.1)) * (1 - share) / n[b.path]
+        article = 1 + held[outer[b.article]] / total
+        score[b.path] += article * math.sqrt(length * (stop + 0.1)) * (1 - share) / n[b.path]
     mean = sum(score[b.path] for b in blocks) / len(blocks)
     spread = math.sqrt(sum((score[b.path] - mean) ** 2 for b in blocks) / len(blocks))
     threshold = min(max(score.values()), max(strictness * mean, mean - spread))
@@ -269,14 +326,7 @@ def _container(page: Page, weight: Counter[int]) -> tuple[int, list[bool]]:
 def main_text(source: str | None) -> str:
     """The article's text, blocks joined by one space; empty if there is none."""
     page = read_page(source or "")
-    blocks = page.blocks
-    if any(b.article for b in blocks):
-        size: Counter[int] = Counter()
-        for b in blocks:
-            if b.article:
-                size[b.article] += len(b.text) - b.linked
-        largest = max(size.values())
-        blocks = [b for b in blocks if b.article and size[b.article] * 4 >= largest]
+    blocks = _without_named(page)
     if not blocks:
         return ""
     chosen = content_paths(page, blocks)
@@ -292,15 +342,24 @@ def main_text(source: str | None) -> str:
     for b in blocks:
         links[b.path] += b.linked
         chars[b.path] += len(b.text)
-    narrow = any(b.article for b in blocks) or page.paths[holder][1].split(" ")[0] not in ("", "html", "body")
+    narrow = page.paths[holder][1].split(" ")[0] not in ("", "html", "body")
     first = min(i for i, b in enumerate(blocks) if b.path in chosen)
     last = max(i for i, b in enumerate(blocks) if b.path in chosen)
+    # The articles that hold chosen text, and those around them.
+    around = {0}
+    for b in blocks:
+        at = b.article if b.path in chosen else 0
+        while at not in around:
+            around.add(at)
+            at = page.articles[at]
 
     def belongs(i: int, b: Block) -> bool:
         if b.path in chosen:
             return True
-        if 2 * links[b.path] > chars[b.path] or not inside[b.path]:
+        if 2 * links[b.path] > chars[b.path]:
             return False
+        if not inside[b.path]:
+            return b.article > 0 and b.article in around and i < last
         heading = bool(_HEADING.match(page.paths[b.path][1].split(" ")[0]))
         return narrow or first <= i <= last or heading
 

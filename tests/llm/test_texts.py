@@ -200,6 +200,37 @@ def test_main_text_of_a_plain_layout():
     )
 
 
+LONG = [
+    f"Paragraph {i} of the text goes on for a while, as articles do, with commas, clauses, and a full stop at its end. "
+    "It has a second sentence, too, which is nearly as long as the first one, and says little." for i in range(6)
+]
+
+
+def test_main_text_keeps_what_surrounds_a_nested_article():
+    body = "".join(f"<p>{p}</p>" for p in LONG)
+    page = f"<body><nav>menu</nav><main><h1>Title</h1><p>A short lead.</p><article>{body}</article></main><footer>f</footer></body>"
+    assert html_main.main_text(page) == " ".join(["Title", "A short lead.", *LONG])
+
+
+def test_main_text_in_divs_beside_articles_of_other_kinds():
+    body = "".join(f"<p>{p}</p>" for p in LONG)
+    comments = "".join(f'<article class="comment"><p>Reader {i} says: this is great, really, a long comment indeed, and more of it.</p></article>' for i in range(8))
+    cards = "".join(f'<article class="card"><a href="/{i}">Other story {i}</a></article>' for i in range(6))
+    for page in (
+        f"<body><div class='post'><h1>Title</h1>{body}</div>{comments}</body>",
+        f"<body><div class='post'><h1>Title</h1>{body}</div><section>{cards}</section></body>",
+    ):
+        assert html_main.main_text(page) == " ".join(["Title", *LONG])
+
+
+def test_main_text_in_a_wrapper_with_a_word_of_furniture():
+    body = "".join(f"<p>{p}</p>" for p in LONG)
+    for wrapper in ('div class="layout has-sidebar"', 'form id="form1"'):
+        page = f"<body><{wrapper}><div><h1>Title</h1>{body}</div><div class='sidebar'><p>Side text.</p></div></{wrapper.split()[0]}></body>"
+        assert html_main.main_text(page) == " ".join(["Title", *LONG])
+    assert html_main.main_text("<body><div class='ad'>An advert that is longer than the text.</div><p>Short.</p></body>") == "Short."
+
+
 def test_main_text_edge_cases(pages_of):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "just text &lt;b&gt;"), (4, "u", "<p>a<p>b"), (5, "u", "<nav>x"),
             (6, "u", "<div>" * 20_000 + "deep" + "</i>" * 20_000), (7, "u", "<a \"'" * 5_000), (8, "u", "<!--" * 5_000),
