@@ -396,7 +396,15 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that are the smallest doc_id of their class, and rows without a doc_id."""
-    kept = join(docs).where("doc_id = class_id").select(F.col("doc_id").alias("__id"))
-    named = docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi")
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    """For each class of texts the rows of the smallest name: (doc_id, digest of the text), null doc_ids last.
+
+    Rows that repeat a doc_id and its text stay together; of equal texts without a doc_id one row stays.
+    """
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), digest.alias("text"))
+    named = docs.withColumn("__name", name)
+    classes = join(named.select(F.col("__name").alias("doc_id"), "text"))
+    kept = classes.where("doc_id = class_id").select(F.col("doc_id").alias("__kept")).distinct()
+    rows = named.join(kept, F.col("__name").eqNullSafe(F.col("__kept")), "left_semi")
+    unnamed = rows.where("doc_id IS NULL").dropDuplicates(["__name"])
+    return rows.where("doc_id IS NOT NULL").unionByName(unnamed).drop("__name")

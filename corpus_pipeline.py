@@ -1,9 +1,9 @@
 """The corpus pipeline: rules, language, near duplicates, benchmark leaks, tokens.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last
-return the columns of docs. A null or empty text fails the rules. Repeated rows of one doc_id stay or go
-together; rows without a doc_id are judged by their text, and the near-duplicate stage, which has no
-name for them, keeps them; extra columns pass through the first four stages.
+return the columns of docs. A null or empty text fails the rules. Rows are judged by their doc_id and text:
+those that repeat both stay or go together, those that repeat a doc_id with another text don't, and rows without a
+doc_id are judged by their text; extra columns pass through the first four stages.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ KEY = "__document"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """The rows with a name that is never null: the doc_id, or the digest of the text where there is none."""
+    """The rows with a name that is never null: the digest of the text, with the doc_id where there is one."""
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    name = F.concat(F.lit("id:"), F.col("doc_id").cast("string"))
+    name = F.concat(F.lit("id:"), F.col("doc_id").cast("string"), F.lit(":"), digest)
     return docs.withColumn(KEY, F.coalesce(name, F.concat(F.lit("text:"), digest)))
 
 
@@ -48,7 +48,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest doc_id of each class."""
+    """The document of the smallest doc_id and text of each class."""
     return ngram_join.one_of_each(docs)
 
 

@@ -192,3 +192,15 @@ def test_pipeline_judges_rows_without_an_id(spark, docs_of):
     assert pipeline.language_id(spark, clean, sf).where("doc_id IS NULL").count() == 0
     leaked = docs_of([(None, f"before {item} after"), (None, "quite another text"), (7, item)])
     assert [r["text"] for r in pipeline.decontamination(spark, leaked, sf).collect()] == ["quite another text"]
+
+
+def test_pipeline_judges_rows_that_repeat_an_id_by_their_text(spark, docs_of):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    sf = "/root/testdata/sf0.001"
+    t, u, v, w = (" ".join(f"{c}{i}" for i in range(40)) for c in "tuvw")
+    docs = docs_of([(5, t), (7, t), (3, u), (5, u), (None, v), (None, v), (None, t), (9, w), (9, w)])
+    got = [(r["doc_id"], r["text"]) for r in pipeline.near_duplicates(spark, docs, sf).collect()]
+    assert sorted(got, key=str) == sorted([(5, t), (3, u), (None, v), (9, w), (9, w)], key=str)
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").where("text IS NOT NULL").first()["text"]
+    docs = docs_of([(5, f"before {item} after"), (5, "quite another text")])
+    assert [r["text"] for r in pipeline.decontamination(spark, docs, sf).collect()] == ["quite another text"]
