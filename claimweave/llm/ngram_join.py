@@ -1,10 +1,11 @@
-"""Join of documents by the Jaccard similarity of their five-word shingles, by an LSH forest.
+"""Join of documents by the Jaccard similarity of their five-word shingles, by MinHash banding.
 
 Documents with one set of shingles are one text, named by the digest of the set: the join works on such
 texts, so copies never make pairs. Each text has a MinHash signature of TREES x DEPTH values; every tree
-lists the texts by its own DEPTH values, sorted, which is its prefix trie in reading order. Two texts meet
-in a tree at the deepest prefix they share, and prefixes are shortened down to the length at which the trees
-together reach the target recall for pairs at the threshold. Texts that share no such prefix with another are
+lists the texts by its own DEPTH values. Two texts meet in a tree where they share a prefix of a fixed length,
+the longest at which the trees together reach the target recall for pairs at the threshold (base_length(): 3 values
+at 0.8 and 0.99). The length replaces an LSH forest's, which adapts to the data; the deeper values only go
+into the comparison of signatures. Texts that share no such prefix with another are
 left out after a count of narrow rows. The rest is done in two ways that divide the pairs between them:
 
 - Prefixes of up to GROUP texts: a pass over the sorted listing meets all pairs of such a group; sizes
