@@ -2,7 +2,7 @@
 
 The model joins no piece across the place where a space follows another character, which is checked on
 its vocabulary; so a text's tokens are those of its pre-tokens, a run of spaces and what follows it.
-First tier: the lengths of the most frequent pre-tokens of a bounded sample, a table of at most
+First tier: the lengths of the most frequent pre-tokens of about SAMPLE_ROWS rows drawn from the whole table, a table of at most
 FREQUENT entries of at most FREQUENT_CHARS characters, broadcast. Second tier: other pre-tokens are
 encoded by the library in one call a slice of rows and cached by the worker, in a table that starts
 from the first tier. The tiers only save time:
@@ -83,7 +83,8 @@ class Counts:
 
 
 def frequent_pre_tokens(docs: DataFrame, rows: int = SAMPLE_ROWS, entries: int = FREQUENT) -> list[str]:
-    """The most frequent short pre-tokens of at most `rows` documents, `entries` at most."""
+    """The most frequent short pre-tokens of about `rows` documents of the whole table, `entries` at most."""
+    share = min(1.0, rows / max(1, docs.count()))
 
     def make():
         def apply(part):
@@ -94,7 +95,7 @@ def frequent_pre_tokens(docs: DataFrame, rows: int = SAMPLE_ROWS, entries: int =
 
         return apply
 
-    counted = map_batches(docs.select("text").limit(rows), make, "token string, n long")
+    counted = map_batches(docs.select("text").sample(share, seed=5), make, "token string, n long")
     top = counted.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(entries)
     return [r["token"] for r in top.collect()]
 

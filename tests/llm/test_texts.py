@@ -66,6 +66,12 @@ def test_token_counts_are_those_of_the_library(docs_of, sample_docs, monkeypatch
     assert token_counts.token_counts(docs_of([]), MODEL).count() == 0
 
 
+def test_frequent_pre_tokens_are_of_the_whole_table(docs_of):
+    docs = docs_of([(i, "early words" if i < 2000 else "late words") for i in range(4000)])
+    found = "".join(token_counts.frequent_pre_tokens(docs, rows=400))
+    assert "early" in found and "late" in found
+
+
 @pytest.mark.parametrize("head", [1, 40, 1 << 18])
 def test_backoff_matches_brute_force(docs_of, head):
     rng = random.Random(4)
