@@ -707,6 +707,16 @@ FINAL = {
             ("want_reason_items", "reason_for_visit", 3), ("want_procedure_items", "other_procedure", 24),
         ]
     ),
+    "slot_overflow_by_kind": "select *, 'INSTITUTIONAL' as kind from ("
+    + overflow_sql(
+        [
+            ("want_other_items", "other_diagnosis", 24), ("want_cause_items", "external_cause", 12),
+            ("want_reason_items", "reason_for_visit", 3), ("want_procedure_items", "other_procedure", 24),
+        ]
+    )
+    + ") union all select *, 'PROFESSIONAL' as kind from ("
+    + overflow_sql([("want_plain_items", "diagnosis", 24)])
+    + ")",
     "lookup_copies": """select code, count(*) as copies from lookup
         where int_id = 'INT005' and type = 'BILL_TYPE' group by code""",
     "pipe_record": """select c.claim_fact_key, concat_ws('|', coalesce(c."PAYER_SHORT", ''),

@@ -422,6 +422,16 @@ def slot_overflow(wh):
     return bridge.slot_overflow(arrays, bridge.INSTITUTIONAL_SLOTS)
 
 
+@on_warehouse
+def slot_overflow_by_kind(wh):
+    arrays = diagnosis_arrays(wh).join(procedure_arrays(wh), "claim_fact_key", "full")
+    institutional = bridge.slot_overflow(arrays, bridge.INSTITUTIONAL_SLOTS)
+    professional = bridge.slot_overflow(plain_arrays(wh), bridge.PROFESSIONAL_SLOTS)
+    return institutional.withColumn("kind", F.lit("INSTITUTIONAL")).unionByName(
+        professional.withColumn("kind", F.lit("PROFESSIONAL"))
+    )
+
+
 # Whole builds.
 
 

@@ -269,3 +269,12 @@ def test_wide_table_is_written_by_claim_type(spark, tmp_path):
     back = spark.read.parquet(path)
     assert values(back, "CLAIM_TYPE_NAME", "CLAIM_FACT_KEY") == [("INSTITUTIONAL", Decimal(1))]
     assert len(back.columns) == 532
+
+
+def test_professional_claims_with_more_diagnoses_than_slots_are_listed(spark, monkeypatch):
+    from claimweave.checks import queries
+
+    many = spark.createDataFrame([(1, ["x"] * 26), (2, ["x"] * 24)], "claim_fact_key long, diagnosis array<string>")
+    monkeypatch.setattr(queries, "plain_arrays", lambda wh: many)
+    found = queries.queries()["slot_overflow_by_kind"](spark, "/root/testdata/sf0.001").where("kind = 'PROFESSIONAL'")
+    assert values(found) == [(1, "diagnosis", 26, 2, "PROFESSIONAL")]
