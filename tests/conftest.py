@@ -26,9 +26,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def folder():
     return TESTDATA
-
-
-def values(df, *columns):
-    """Rows as plain tuples, sorted with NULL first."""
-    rows = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
-    return sorted(rows, key=lambda r: tuple((v is not None, str(v)) for v in r))

@@ -1,4 +1,4 @@
-"""Hand-made warehouse rows: every table present, columns not given are NULL."""
+"""Hand-made warehouse rows (every table present, columns not given are NULL), and rows as values."""
 
 from claimweave.sources import Warehouse
 from claimweave.sources.schemas import WAREHOUSE_COLUMNS, column_type
@@ -20,3 +20,9 @@ def warehouse(spark, **rows):
 
 
 FOREVER = {"version_eff_date_key": 19900101, "version_exp_date_key": 99991231}
+
+
+def values(df, *columns):
+    """Rows as plain tuples, sorted with NULL first."""
+    rows = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
+    return sorted(rows, key=lambda r: tuple((v is not None, str(v)) for v in r))

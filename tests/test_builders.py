@@ -2,9 +2,8 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import values
 from pyspark.sql import functions as F
-from small import FOREVER, warehouse
+from small import FOREVER, values, warehouse
 
 from claimweave import (
     BuildOptions,

@@ -1,13 +1,13 @@
 import datetime as dt
 
 import pytest
-from conftest import values
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from claimweave import Staging, extract_records, write_records
 from claimweave.operators.skew import frequent_keys, salted_join
 from claimweave.plans.records import RECORDS
+from small import values
 
 DAY = dt.datetime(2023, 1, 5)
 WINDOW = (dt.datetime(2023, 1, 1), dt.datetime(2023, 1, 31))

@@ -1,7 +1,6 @@
 """Physical plans: what is pushed, what is shuffled, and how skew is met."""
 
 import pytest
-from conftest import values
 from pyspark.sql import functions as F
 
 from claimweave.checks.queries import QUERIES
@@ -11,6 +10,7 @@ from claimweave.operators.joins import spread_null_join
 from claimweave.plans import clinical
 from claimweave.plans.amounts import line_sums
 from claimweave.sources import Warehouse
+from small import values
 
 
 def plan_of(df):

@@ -2,13 +2,13 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import values
 from pyspark.sql import functions as F
 
 from claimweave import functions as fn
 from claimweave.functions.xml import element, xml_list
 from claimweave.operators import audit_passed, in_slice, in_window
 from claimweave.operators.lists import list_to_slots, ordered_list
+from small import values
 
 
 def column(spark, rows, kind="string"):
