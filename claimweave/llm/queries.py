@@ -10,6 +10,7 @@ from claimweave.llm import (
     bpe,
     html_main,
     langid,
+    merkle,
     ngram_join,
     rules,
     shards,
@@ -69,6 +70,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,6 +87,7 @@ QUERIES = {
         op8_warc_dictionary,
         op9_byte_bpe,
         op10_ngram_join,
+        op12_merkle_manifest,
     )
 }
 
