@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from claimweave.llm import (
     backoff,
     bpe,
+    conversations,
     html_main,
     langid,
     merkle,
@@ -70,6 +71,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ QUERIES = {
         op8_warc_dictionary,
         op9_byte_bpe,
         op10_ngram_join,
+        op11_conversation_repair,
         op12_merkle_manifest,
     )
 }
