@@ -18,11 +18,13 @@ from claimweave.llm import (
     token_counts,
     warc,
     winnow,
+    word_bpe,
 )
 from claimweave.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 LM_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 PATTERN = public_tokenizers.PATTERN
 
@@ -79,6 +81,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.encode_documents(table(spark, sf_dir, "documents"), WORD_MODEL)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -94,6 +100,7 @@ QUERIES = {
         op10_ngram_join,
         op11_conversation_repair,
         op12_merkle_manifest,
+        op13_word_bpe,
     )
 }
 
