@@ -3,10 +3,10 @@
 A row's leaf is a digest of its columns. Per language, leaves in order of doc_id are hashed two by two, level by
 level, down to a subroot; subroots in order of language are hashed likewise down to the root.
 
-Leaves are never sorted by doc_id. Every task packs the doc_ids that it reads into bitmaps of 65,536 ids, one for
+Leaves are never sorted by doc_id. Every task packs the doc_ids that it reads into bitmaps of 4,096 ids, one for
 each language and upper part of the id; bitmaps of one place are merged by counting. Popcounts of the merged bitmaps
-are summed up a directory of four levels, each with at most 65,536 children a parent, so that a bitmap knows how
-many rows of its language are before it. Leaves then meet their bitmap, and a rank query (rows before the bitmap,
+are summed up a directory of three levels, with 65,536 children a parent (a million at its top), so that a bitmap
+knows how many rows of its language are before it. Leaves then meet their bitmap, and a rank query (rows before the bitmap,
 plus ones before the bit) gives a leaf's coordinate. Slot arrays keyed by language and coordinate reduce seven levels
 of the tree at a time. On the way back, each array hands the siblings on its path to the arrays below it.
 
@@ -35,8 +35,10 @@ from claimweave.llm.shards import ranked
 LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 LEVELS = 7  # of the tree in one slot array, which so has 128 slots
 SLOTS = 1 << LEVELS
+ID_BITS = 12  # of a doc_id in one bitmap, which so has 4,096 ids in 512 bytes
+IDS = 1 << ID_BITS
 PACKED_IDS = 1 << 20  # ids that a task holds before it hands on its bitmaps
-HOT_ROWS = 1 << 18  # rows of one bitmap's place beyond which it is spread over several tasks
+HOT_ROWS = 1 << 16  # rows of one bitmap's place beyond which it is spread over several tasks
 COPIES = 4096  # copies of one leaf made in one go
 
 KEYS = "lang string, high long"
@@ -74,9 +76,9 @@ def leaves(docs: DataFrame, every: int = 7) -> DataFrame:
 
 
 def pack(counts: np.ndarray) -> tuple[bytes, bytes]:
-    """A bitmap from the rows of each of 65,536 ids: a short list of ids or 8 KB of bits, and the repeated ids."""
+    """A bitmap from the rows of each of its ids: a short list of ids or 512 bytes of bits, and the repeated ids."""
     lows = np.flatnonzero(counts)
-    if len(lows) < 4096:
+    if len(lows) < IDS // 16:
         bits = lows.astype("<u2").tobytes()
     else:
         bits = np.packbits(counts > 0, bitorder="little").tobytes()
@@ -90,7 +92,7 @@ def unpack(bits: bytes | None, extra: bytes | None) -> tuple[np.ndarray, np.ndar
     """The ids of a bitmap and how many rows have each."""
     if bits is None:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    if len(bits) == 8192:
+    if len(bits) == IDS // 8:
         lows = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little"))
     else:
         lows = np.frombuffer(bits, "<u2").astype(np.int64)
@@ -105,7 +107,7 @@ class Ranks:
 
     def __init__(self, bits: bytes, extra: bytes):
         lows, rows = unpack(bits, extra)
-        present = np.zeros(65536, np.uint8)
+        present = np.zeros(IDS, np.uint8)
         present[lows] = 1
         self.words = np.packbits(present, bitorder="little").view("<u8")
         self.before = np.concatenate(([0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)))
@@ -132,7 +134,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for (lang, high), lows in held.items():
             ids, counts = np.unique(np.concatenate(lows), return_counts=True)
-            full = np.zeros(65536, np.int64)
+            full = np.zeros(IDS, np.int64)
             full[ids] = counts
             rows.append((lang, high, *pack(full), int(counts.sum())))
         rows += [(lang, None, None, None, k) for lang, k in nulls.items()]
@@ -151,9 +153,9 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             nulls[names[c]] = nulls.get(names[c], 0) + int(k)
         value = ids.fill_null(0).to_numpy(zero_copy_only=False)[~missing]
         code = code[~missing]
-        high = value >> 16
+        high = value >> ID_BITS
         order = np.lexsort((high, code))
-        code, high, low = code[order], high[order], (value & 0xFFFF)[order]
+        code, high, low = code[order], high[order], (value & (IDS - 1))[order]
         cut = np.flatnonzero((np.diff(code) != 0) | (np.diff(high) != 0)) + 1
         for a, b in zip([0, *cut], [*cut, len(code)], strict=True):
             if b > a:
@@ -167,7 +169,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bitmaps of one place, which follow one another, as one."""
-    at, counts, total = None, np.zeros(65536, np.int64), 0
+    at, counts, total = None, np.zeros(IDS, np.int64), 0
 
     def done():
         return (*at, *(pack(counts) if at[1] is not None else (None, None)), total)
@@ -203,7 +205,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def bitmaps(leaf_rows: DataFrame) -> DataFrame:
-    """lang, high, bits, extra, total: one bitmap for 65,536 doc_ids of a language, and one row for its null ids."""
+    """lang, high, bits, extra, total: one bitmap for 4,096 doc_ids of a language, and one row for its null ids."""
     partial = leaf_rows.select("lang", "doc_id").mapInArrow(_packed, _PACKED_SQL)
     return partial.repartition("lang", "high").sortWithinPartitions("lang", "high").mapInArrow(_merged, _PACKED_SQL)
 
@@ -270,7 +272,7 @@ def _queried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if ranks is None:  # rows without a doc_id
                     rank[a + 1 : b], ties[a + 1 : b] = before, total + 1
                 else:
-                    rank[a + 1 : b], ties[a + 1 : b] = ranks.query(ids[a + 1 : b] & 0xFFFF)
+                    rank[a + 1 : b], ties[a + 1 : b] = ranks.query(ids[a + 1 : b] & (IDS - 1))
                     rank[a + 1 : b] += before
                 size[a + 1 : b] = n
         rows = pa.array(kind == 1)
@@ -289,13 +291,13 @@ def _queried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def rank_queries(leaf_rows: DataFrame, packed: DataFrame) -> DataFrame:
     """Leaves with n (rows of the language), rank (rows before the doc_id) and ties (rows that may share it)."""
     placed = directory(packed)
-    high = F.shiftright("doc_id", 16)
+    high = F.shiftright("doc_id", ID_BITS)
     hot = placed.where(F.col("total") > HOT_ROWS).select("lang", "high", F.expr(f"total div {HOT_ROWS}").alias("parts"))
     salts = hot.limit(1).count() > 0
     rows = leaf_rows.withColumn("high", high)
     heads = _null_safe_join(placed, packed.drop("total"), ["lang", "high"]).withColumn("salt", F.lit(0))
     rows = rows.withColumn("salt", F.lit(0))
-    if salts:  # one row for each 262,144 of the table at most
+    if salts:  # one row for each 65,536 of the table at most
         hot = hot.select(F.col("lang").alias("l"), F.col("high").alias("h"), "parts")
         same = F.col("lang").eqNullSafe(F.col("l")) & F.col("high").eqNullSafe(F.col("h"))
         part = F.coalesce(F.pmod(F.xxhash64("leaf"), F.col("parts") + 1).cast("int"), F.lit(0))
