@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimweave.functions import (
@@ -214,12 +214,19 @@ def referring_columns(referring: DataFrame) -> DataFrame:
 def institutional_rows(
     claims: DataFrame, wh: Warehouse, options: BuildOptions, claim_keys: DataFrame | None
 ) -> DataFrame:
-    """Join everything an institutional claim needs; parts with one row per claim come first."""
+    """Join everything an institutional claim needs; parts with one row per claim come first.
+
+    Members and suppliers are staged: each history is met once, and the parts made from its rows
+    (alternate ids, the rendering provider's fallback) read the staged table.
+    """
     facts = selected_claims(wh, claim_keys).filter(_of_kind(provider.INSTITUTIONAL))
     scalars = provider.claim_scalars(facts)
-    members = member_details(claims, wh, options.as_of)
-    billing = provider.billing_provider(scalars, wh)
-    rendering = provider.rendering_provider(provider.rendering_key(scalars), billing, wh)
+    members = stage(member_details(claims, wh, options.as_of), "members")
+    kept = ("supplier_history_fact_key", "statement_start_date_key")
+    billing = stage(provider.billing_provider(scalars, wh, kept), "suppliers")
+    rendering = provider.rendering_provider(
+        provider.rendering_key(scalars), billing.drop(*kept), wh
+    )
     referring = provider.referring_provider(scalars, wh)
     diagnoses = clinical.diagnosis_arrays(clinical.claim_diagnosis(claims, wh))
     procedures = clinical.procedure_array(clinical.claim_procedure(claims, wh))
@@ -234,7 +241,7 @@ def institutional_rows(
             member_other_id(members, wh).drop("member_history_fact_key"),
             provider.with_role(billing, "billing"),
             provider.with_role(rendering, "rendering"),
-            provider.supplier_other_id(claims, wh).drop("supplier_history_fact_key"),
+            provider.newest_supplier_id(billing, wh).drop("supplier_history_fact_key"),
             referring_columns(referring),
         ],
     )
@@ -246,25 +253,48 @@ def professional_rows(
     """Join everything a professional claim needs; DRG and rendering only repeat rows."""
     facts = selected_claims(wh, claim_keys).filter(_of_kind(provider.PROFESSIONAL))
     scalars = provider.claim_scalars(facts)
-    members = member_details(claims, wh, options.as_of)
+    members = stage(member_details(claims, wh, options.as_of), "members")
     billing = provider.billing_provider(scalars, wh)
     diagnoses = clinical.professional_diagnosis_array(clinical.claim_diagnosis(claims, wh))
-    parts = [
-        claim_amounts(claims, wh, claim_keys),
-        clinical.latest_payment(wh, claim_keys),
-        clinical.professional_diagnosis_list(diagnoses),
-        members.drop("statement_start_date_key", "member_history_fact_key"),
-        member_other_id(members, wh).drop("member_history_fact_key"),
-        billing.select("claim_fact_key", F.col("subspec_id").alias("billing_subspec_id")),
-    ]
-    if options.row_parity:
-        first = provider.first_line_practitioner(wh, claim_keys)
-        keyed = provider.rendering_key(scalars, first)
-        parts += [
-            clinical.claim_drg(claims, wh).select("claim_fact_key"),
-            provider.rendering_provider(keyed, billing, wh).select("claim_fact_key"),
-        ]
-    return star(claims, parts)
+    per_claim = Window.partitionBy("claim_fact_key")
+    rows = star(
+        claims,
+        [
+            claim_amounts(claims, wh, claim_keys),
+            clinical.latest_payment(wh, claim_keys),
+            clinical.professional_diagnosis_list(diagnoses),
+            members.drop("statement_start_date_key", "member_history_fact_key"),
+            member_other_id(members, wh).drop("member_history_fact_key"),
+            billing.select(
+                "claim_fact_key", F.col("subspec_id").alias("billing_subspec_id"),
+                F.count(F.lit(1)).over(per_claim).alias("_billings"),
+            ),
+        ],
+    )
+    if not options.row_parity:
+        return rows
+    first = provider.first_line_practitioner(wh, claim_keys)
+    keyed = provider.rendering_key(scalars, first)
+    return repeated(rows, clinical.claim_drg(claims, wh), provider.rendering_copies(keyed, wh))
+
+
+def repeated(rows: DataFrame, drg: DataFrame, rendering: DataFrame) -> DataFrame:
+    """Rows as often as left joins with DRG codes and rendering providers would repeat them.
+
+    Both parts come as a number per claim: the rows of its DRG codes, and the versions of its
+    rendering practitioner or, where none is known, the rows of its billing supplier.
+    """
+    codes = drg.groupBy("claim_fact_key").agg(F.count(F.lit(1)).alias("_drgs"))
+    versions = F.when(F.col("_known"), F.col("_versions")).when(F.col("_supplied"), F.col("_billings"))
+
+    def at_least_one(n: Column) -> Column:
+        return F.greatest(F.coalesce(n, F.lit(1)), F.lit(1))
+
+    copies = (at_least_one(F.col("_drgs")) * at_least_one(versions)).cast("int")
+    counted = star(rows, [codes, rendering])
+    return counted.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).drop(
+        "_copy", "_drgs", "_known", "_supplied", "_versions"
+    )
 
 
 def accepted(rows: DataFrame) -> DataFrame:

@@ -160,7 +160,7 @@ def claim_drg(claims: DataFrame, wh: Warehouse) -> DataFrame:
     for key, name in (("submitted_drg_key", "sub_drg"), ("calculated_drg_key", "allowed_drg")):
         rows = asof_join(
             rows, wh["drg_history_fact"], (key, "drg_key"), [F.col("drg_code").alias(name)],
-            how="left", status="drg_status", dense=wh.dense_versions,
+            how="left", status="drg_status", by_time=wh.large("drg_history_fact"),
         )
     return rows.filter(filled(F.col("sub_drg")) | filled(F.col("allowed_drg"))).select(
         "claim_fact_key", "sub_drg", "allowed_drg"

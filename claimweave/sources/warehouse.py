@@ -9,27 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.functions.rules import not_deleted
-from claimweave.operators.broadcast import broadcast_if_small
+from claimweave.operators.broadcast import broadcast_if_small, source_bytes
 from claimweave.sources.schemas import STAGING_TABLES, WAREHOUSE_COLUMNS, conform
 
 
-class Warehouse(Mapping[str, DataFrame]):
-    """The source tables by lower-case name, each loaded on first use.
+#: Files of this size hold some 50,000 versions at least, of which one key may have very many.
+LARGE_HISTORY = 4 << 20
+
 
-    ``dense_versions`` makes the as-of joins cut keys with more versions than that by year.
-    """
+class Warehouse(Mapping[str, DataFrame]):
+    """The source tables by lower-case name, each loaded on first use."""
 
     def __init__(
         self,
         load: Callable[[str], DataFrame],
         names: Iterable[str] = tuple(WAREHOUSE_COLUMNS),
-        dense_versions: int | None = None,
     ):
-        self.dense_versions = dense_versions
         self._load = load
         self._names = tuple(names)
         self._frames: dict[str, DataFrame] = {}
         self._codes: dict[str, DataFrame] = {}
+        self._large: dict[str, bool] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._names:
@@ -50,34 +50,31 @@ class Warehouse(Mapping[str, DataFrame]):
             self._codes[name] = broadcast_if_small(self[name])
         return self._codes[name]
 
+    def large(self, name: str) -> bool:
+        """Whether a history's files are large enough for as-of joins to meet its keys by time cells."""
+        if name not in self._large:
+            self._large[name] = source_bytes(self[name]) >= LARGE_HISTORY
+        return self._large[name]
+
     def live(self, name: str) -> DataFrame:
         """Rows of a table that are not soft-deleted."""
         table = self[name]
         return table.filter(not_deleted(F.col("deleted_flag"))).drop("deleted_flag")
 
     @classmethod
-    def from_files(
-        cls, spark: SparkSession, root: str, fmt: str = "parquet", dense_versions: int | None = None
-    ) -> Warehouse:
+    def from_files(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> Warehouse:
         """One folder or file per table below ``root``, in any format Spark reads."""
-        return cls(
-            lambda name: spark.read.format(fmt).load(f"{root}/{name}"),
-            dense_versions=dense_versions,
-        )
+        return cls(lambda name: spark.read.format(fmt).load(f"{root}/{name}"))
 
     @classmethod
-    def from_catalog(
-        cls, spark: SparkSession, database: str, dense_versions: int | None = None
-    ) -> Warehouse:
+    def from_catalog(cls, spark: SparkSession, database: str) -> Warehouse:
         """Tables of one catalog database."""
-        return cls(lambda name: spark.table(f"{database}.{name}"), dense_versions=dense_versions)
+        return cls(lambda name: spark.table(f"{database}.{name}"))
 
     @classmethod
-    def from_frames(
-        cls, frames: Mapping[str, DataFrame], dense_versions: int | None = None
-    ) -> Warehouse:
+    def from_frames(cls, frames: Mapping[str, DataFrame]) -> Warehouse:
         names = [n for n in WAREHOUSE_COLUMNS if n in frames]
-        return cls(lambda name: frames[name], names, dense_versions)
+        return cls(lambda name: frames[name], names)
 
 
 @dataclass(frozen=True)

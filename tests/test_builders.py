@@ -15,8 +15,10 @@ from claimweave import (
     stage_claims,
     write_claims,
 )
+from claimweave.operators import joins
 from claimweave.plans import bridge, clinical, header, member, provider
 from claimweave.plans.amounts import claim_amounts
+from claimweave.sources import warehouse as warehouse_module
 
 AS_OF = dt.datetime(2020, 1, 1)
 CLAIM = {"claim_fact_key": 1, "claim_hcc_id": "H1", "claim_type_name": "Institutional",
@@ -250,15 +252,36 @@ def test_row_parity_repeats_professional_rows(spark):
     assert plain.professional.agg(F.count("*")).first()[0] == 1
 
 
-def test_dense_histories_do_not_change_a_build(spark):
+def test_row_parity_counts_overlapping_versions(spark):
+    tables = dict(wide_warehouse(spark))
+    more = warehouse(
+        spark,
+        all_claim_fact=[
+            CLAIM | {"claim_fact_key": 2, "claim_type_name": "professional", "supplier_key": 3, "submitted_drg_key": 9},
+            CLAIM | {"claim_fact_key": 4, "claim_type_name": "Professional", "supplier_key": 3},
+        ],
+        drg_history_fact=[FOREVER | {"drg_key": 9, "drg_code": c, "drg_status": "A"} for c in "xyz"],
+        all_claim_line_fact=[{"claim_fact_key": 2, "claim_line_fact_key": 1, "practitioner_key": 7}],
+        all_practitioner_history_fact=[
+            FOREVER | {"practitioner_key": 7, "practitioner_status": "A", "practitioner_npi": "1"}] * 2,
+        all_supplier_history_fact=[FOREVER | {"supplier_key": 3, "supplier_status": "A"}] * 2,
+    )
+    wh = Warehouse.from_frames(tables | dict(more))
+    build = build_claims(wh, "PAYER", options=BuildOptions(as_of=AS_OF))
+    # claim 2: 2 billing rows, 3 DRG rows, 2 practitioner rows; claim 4: 2 billing rows, twice as rendering
+    counts = build.professional.groupBy("CLAIM_FACT_KEY").count()
+    assert values(counts) == [(Decimal(2), 12), (Decimal(4), 4)]
+
+
+def test_time_cells_do_not_change_a_build(spark, monkeypatch):
     plain = wide_warehouse(spark)
-    dense = Warehouse.from_frames(dict(plain), dense_versions=0)
-    for kind in ("institutional", "professional"):
-        wanted, got = (
-            values(getattr(build_claims(wh, "PAYER", options=BuildOptions(as_of=AS_OF)), kind))
-            for wh in (plain, dense)
-        )
-        assert got == wanted
+    wanted, got = [], []
+    for found, many, bytes_ in ((wanted, 256, 1 << 40), (got, 0, 0)):
+        monkeypatch.setattr(joins, "MANY_VERSIONS", many)
+        monkeypatch.setattr(warehouse_module, "LARGE_HISTORY", bytes_)
+        build = build_claims(Warehouse.from_frames(dict(plain)), "PAYER", options=BuildOptions(as_of=AS_OF))
+        found += [values(build.institutional), values(build.professional)]
+    assert got == wanted
 
 
 def test_wide_table_is_written_by_claim_type(spark, tmp_path):

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimweave.checks.queries import QUERIES
-from claimweave.operators import asof_join, drop_superseded_lines, stage
+from claimweave.operators import asof_join, drop_superseded_lines, joins, stage
 from claimweave.operators.broadcast import broadcast_if_small
 from claimweave.operators.joins import spread_null_join
+from claimweave.operators.ordering import ordered_join, split_points
 from claimweave.plans import clinical
 from claimweave.plans.amounts import line_sums
 from claimweave.sources import Warehouse
@@ -99,7 +100,7 @@ def test_a_hot_history_key_is_split_at_run_time(spark, settings):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_dense_histories_give_the_same_rows(spark, how):
+def test_keys_met_by_time_cells_give_the_same_rows(spark, how, monkeypatch):
     claims = spark.range(400).select(
         F.col("id").alias("c"), F.when(F.col("id") % 11 > 0, F.col("id") % 5).alias("k"),
         F.when(F.col("id") % 13 > 0, 19990000 + F.col("id") * 97).cast("int").alias("as_of"),
@@ -110,12 +111,51 @@ def test_dense_histories_give_the_same_rows(spark, how):
         F.when(F.col("id") % 9 == 0, 99991231).otherwise(19980500 + F.col("id") * 120).cast("int")
         .alias("version_exp_date_key"), F.lit(None).cast("string").alias("deleted_flag"),
     )
-    plain, cut = (
-        asof_join(claims, history, ("k", "k"), ["v"], as_of="as_of", how=how, dense=dense)
-        for dense in (None, 30)
-    )
+    found = []
+    for many in (10**9, 20):
+        monkeypatch.setattr(joins, "MANY_VERSIONS", many)
+        found.append(asof_join(claims, history, ("k", "k"), ["v"], as_of="as_of", how=how, spread_by="c"))
+    plain, cut = found
     assert cut.columns == plain.columns
-    assert values(cut) == values(plain)
+    assert values(cut) == values(plain) and plain.count() > 400
+
+
+def test_a_hot_key_is_met_in_linear_work(spark):
+    """A key of 20,000 overlapping versions: pairs tested stay near the matches, and no cell is hot."""
+    def key_of(days):
+        return F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), days.cast("int")), "yyyyMMdd").cast("int")
+
+    versions = spark.range(20_000).select(
+        F.lit(7).alias("_key"), key_of(F.col("id") / 2).alias("_from"), F.col("id").alias("v"),
+        F.when(F.col("id") % 500 == 0, 99991231).otherwise(key_of(F.col("id") / 2 + 5 + F.col("id") % 40)).alias("_to"),
+    )
+    claims = spark.range(200_000).select(
+        F.col("id").alias("c"), F.lit(7).alias("k"), key_of(F.col("id") % 10_000).alias("as_of")
+    )
+    left, right = joins.time_cells(claims, versions, "k", "as_of", "c")
+    assert right.count() <= 3.5 * versions.count()
+    met = left.join(right, (left["k"] == right["_key"]) & (left["_cell"] == right["_in_cell"]))
+    counts = met.agg(
+        F.count(F.lit(1)).alias("tested"),
+        F.count(F.when((F.col("_from") <= F.col("as_of")) & (F.col("as_of") < F.col("_to")), 1)).alias("kept"),
+    ).first()
+    assert counts["tested"] <= 4 * counts["kept"] and counts["kept"] > 5_000_000
+    assert left.groupBy("_cell").count().agg(F.max("count")).first()[0] < 2_000
+
+
+def test_null_keys_of_an_as_of_join_are_spread(spark, settings):
+    settings(autoBroadcastJoinThreshold=-1, adaptive__enabled="false")
+    claims = spark.range(4000).select(
+        F.col("id").alias("claim_fact_key"), F.when(F.col("id") % 10 == 0, F.col("id") % 50).alias("k"),
+        F.lit(20200101).alias("statement_start_date_key"),
+    )
+    history = spark.range(50).select(
+        F.col("id").alias("k"), F.lit(19900101).alias("version_eff_date_key"),
+        F.lit(99991231).alias("version_exp_date_key"), F.lit(None).cast("string").alias("deleted_flag"), F.lit("x").alias("v"),
+    )
+    joined = asof_join(claims, history, ("k", "k"), ["v"], how="left")
+    sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 4000 / 3 and sum(sizes) == 4000
 
 
 def test_null_keys_are_spread(spark, settings):
@@ -144,3 +184,38 @@ def test_stage_writes_to_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert all(shared in name and "/claimweave/" in name for name in staged.inputFiles())
     assert values(staged) == values(df)
+
+
+def ordered_pair(spark, parts):
+    lines = spark.range(0, 9000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, 41).otherwise((F.col("id") * 7919) % 97).alias("k"),
+        F.when(F.col("id") % 50 != 1, (F.col("id") * 31) % 5003).alias("l"), F.col("id").alias("t"),
+    )
+    claims = spark.range(0, 90, 1, 3).select(
+        F.col("id").alias("k"), F.concat(F.lit("c"), "id").alias("name"), (1 + F.col("id") % 2).alias("_copies")
+    )
+    points = split_points(lines.select("k", "l"), "k", "l", parts)
+    return claims, lines, ordered_join(claims, lines, points, "k", "l", parts)
+
+
+@pytest.mark.parametrize("parts", [1, 2, 8, 13])
+def test_an_ordered_join_is_sorted_and_shuffles_each_side_once(spark, parts):
+    claims, lines, joined = ordered_pair(spark, parts)
+    plan = plan_of(joined)
+    assert "rangepartitioning" not in plan and (parts == 1 or "passthrough" in plan)
+    main = plan.split("Subquery", 1)[0]
+    assert main.count("Sort [") <= 3
+    rows = [(r.k, -1 if r.l is None else r.l) for r in joined.collect()]
+    assert rows == sorted(rows)
+    copies = claims.withColumn("_c", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))))
+    wanted = lines.join(copies, "k").select("k", "l", "t", "name")
+    assert values(joined.select("k", "l", "t", "name")) == values(wanted)
+
+
+def test_an_ordered_join_cuts_a_hot_claim_and_holds_on_empty_sides(spark):
+    claims, lines, joined = ordered_pair(spark, 12)
+    sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < joined.count() / 6
+    none = lines.limit(0)
+    points = split_points(none.select("k", "l"), "k", "l", 4)
+    assert ordered_join(claims, none, points, "k", "l", 4).count() == 0
