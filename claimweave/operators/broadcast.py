@@ -15,8 +15,8 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def source_bytes(df: DataFrame) -> int:
-    """The size of the files that a frame is made from, by the same estimate; runs no job."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    """The size of the files or rows that a frame is made from; runs no job and optimises nothing."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -30,6 +32,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_together(**frames: DataFrame) -> list[DataFrame]:
+    """Stage frames that don't depend on each other at the same time, so that none waits for another's last tasks."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        jobs = [
+            pool.submit(inheritable_thread_target(df.sparkSession)(stage), df, label)
+            for label, df in frames.items()
+        ]
+        return [job.result() for job in jobs]
+
+
 @cache
 def _own_folder() -> str:
     folder = tempfile.TemporaryDirectory(prefix="claimweave-")

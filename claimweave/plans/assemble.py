@@ -20,7 +20,7 @@ from claimweave.functions import (
     same_text,
     strip_dashes,
 )
-from claimweave.operators.stage import stage
+from claimweave.operators.stage import stage, stage_together
 from claimweave.plans import clinical, provider
 from claimweave.plans.amounts import LINE_AMOUNTS, claim_amounts
 from claimweave.plans.header import HeaderOptions, claim_details, selected_claims
@@ -221,9 +221,11 @@ def institutional_rows(
     """
     facts = selected_claims(wh, claim_keys).filter(_of_kind(provider.INSTITUTIONAL))
     scalars = provider.claim_scalars(facts)
-    members = stage(member_details(claims, wh, options.as_of), "members")
     kept = ("supplier_history_fact_key", "statement_start_date_key")
-    billing = stage(provider.billing_provider(scalars, wh, kept), "suppliers")
+    members, billing = stage_together(
+        members=member_details(claims, wh, options.as_of),
+        suppliers=provider.billing_provider(scalars, wh, kept),
+    )
     rendering = provider.rendering_provider(
         provider.rendering_key(scalars), billing.drop(*kept), wh
     )
