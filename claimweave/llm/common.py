@@ -37,6 +37,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_name(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A row's name, never null: the digest of its text, after its doc_id where there is one.
+
+    Rows that repeat a doc_id with another text have other names; rows without one are named by their text.
+    """
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    named = F.concat(F.lit("id:"), F.col(doc_id).cast("string"), F.lit(":"), digest)
+    return F.coalesce(named, F.concat(F.lit("text:"), digest))
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with the value computed once, also where the body uses it inside lambdas."""
     return F.transform(F.array(value), body)[0]

@@ -135,9 +135,11 @@ FROM f
 """
 
 _OP6 = r"""
-WITH d AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+WITH r AS (
+  SELECT doc_id, coalesce('id:' || doc_id || ':', 'text:') || sha256(coalesce(text, '')) AS name, text FROM documents
+), d AS (
+  SELECT name, regexp_extract_all(translate(any_value(coalesce(text, '')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM r GROUP BY name
 ), b AS (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
@@ -145,19 +147,19 @@ WITH d AS (
   SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g
   FROM (SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
 ), dw AS (
-  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
-  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw))
+  SELECT name, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT name, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw))
 ), hit AS (
-  SELECT doc_id, item_id, k, i FROM dw JOIN bw USING (k, g)
+  SELECT name, item_id, k, i FROM dw JOIN bw USING (k, g)
 ), words AS (
-  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id
+  SELECT name, count(DISTINCT p) AS n FROM (SELECT name, unnest(range(i, i + k)) AS p FROM hit) GROUP BY name
 ), items AS (
-  SELECT doc_id, count(*) AS n, string_agg(x, ',' ORDER BY x) AS s
-  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY doc_id
+  SELECT name, count(*) AS n, string_agg(x, ',' ORDER BY x) AS s
+  FROM (SELECT DISTINCT name, item_id::VARCHAR AS x FROM hit) GROUP BY name
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
   sha256(coalesce(items.s, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
-FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+FROM r JOIN d USING (name) LEFT JOIN words USING (name) LEFT JOIN items USING (name)
 """
 
 #: SQL for the operators that DuckDB can express. It has no crc32, BPE, zstd, HTML or suffix automata.

@@ -8,9 +8,9 @@ on either side and compared word by word, so hash collisions don't count.
 An item of fewer than ten words is one window of its own length. Those lengths present in the items
 (nine at most) are matched by their whole n-gram.
 
-Cases: null and empty texts have no words; repeated document rows (one doc_id) are one document;
-repeated items with one id are one item; a null item id or doc_id is kept as null in the result; empty
-tables give no hits; further columns are ignored. Ties between equal hashes fall to the leftmost place
+Cases: null and empty texts have no words; each row has counts of its own text, rows that repeat a doc_id
+with another text and rows without a doc_id included; repeated items with one id are one item; a null item
+id is an item without a name; empty tables give no hits; further columns are ignored. Ties between equal hashes fall to the leftmost place
 on both sides.
 """
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimweave.llm.common import bind, stored
+from claimweave.llm.common import bind, row_name, stored
 
 SPAN = 10  # words of a window
 GRAM = 5
@@ -167,7 +167,8 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per document: words, hit words, items with a window in it, their digest, and whether any word is hit."""
-    found = stored(hits(docs, items), "hits")  # read twice, made once
+    named = docs.select("doc_id", "text", row_name().alias("row"))
+    found = stored(hits(named.select(F.col("row").alias("doc_id"), "text"), items), "hits")  # read twice, made once
     words = (
         found.select("doc_id", F.explode("places").alias("p")).distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit"))
     )
@@ -178,10 +179,10 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_list("name")).alias("names"))
     )
     hit = words.join(names, "doc_id").select(F.col("doc_id").alias("__id"), "n_hit", "names")
-    counted = docs.select("doc_id", word_count(F.col("text")).alias("n_words"))
+    counted = named.select("doc_id", "row", word_count(F.col("text")).alias("n_words"))
     none = F.slice(F.array(F.lit("")), 1, 0)
     return (
-        counted.join(hit, F.col("doc_id") == F.col("__id"), "left")
+        counted.join(hit, F.col("row") == F.col("__id"), "left")
         .select(
             "doc_id",
             "n_words",

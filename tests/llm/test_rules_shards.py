@@ -112,6 +112,18 @@ def test_winnowing_matches_brute_force(spark, docs_of, monkeypatch):
         assert len(got) == len(docs) and all(r["contaminated"] == (r["n_hit"] > 0) for r in got)
 
 
+def test_winnowing_judges_each_row_by_its_own_text(spark, docs_of):
+    item = " ".join(f"w{i}" for i in range(12))
+    frame = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, item), (None, "a b"), (1, item), (1, "a b c"), (1, item), (2, item + " x")]
+    got = winnow.contamination(docs_of(rows).selectExpr("*", "text AS w", "text AS f", "text AS row"), frame)
+    found = sorted(((r["doc_id"] or 0, r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) for r in got.collect()))
+    assert found == [
+        (0, 2, 0, 0, False), (0, 12, 12, 1, True), (1, 3, 0, 0, False), (1, 12, 12, 1, True), (1, 12, 12, 1, True),
+        (2, 13, 12, 1, True),
+    ]
+
+
 def test_winnowing_of_nothing(spark, docs_of):
     none = spark.createDataFrame([], "item_id long, text string")
     assert winnow.contamination(docs_of([]), none).count() == 0
