@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.llm import bpe, langid, ngram_join, rules, winnow
-from claimweave.llm.common import stored, table
+from claimweave.llm.common import row_name, stored, table
 
 #: How far from the language's usual rate of phrases a letter to 1, where each letter stands alone, a text may
 #: lie: beyond it no learned language explains the text. Where prose needs a fifth of a phrase that is 0.5.
@@ -23,16 +23,20 @@ MAX_EXCESS = 0.375
 KEY = "__document"
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The rows with a name that is never null: the digest of the text, with the doc_id where there is one."""
-    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    name = F.concat(F.lit("id:"), F.col("doc_id").cast("string"), F.lit(":"), digest)
-    return docs.withColumn(KEY, F.coalesce(name, F.concat(F.lit("text:"), digest)))
+#: Names of rejected rows that are broadcast: 88 bytes each at most, so 18 MB.
+BROADCAST_NAMES = 200_000
 
 
-def _without(keyed: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of `keyed` but those named in `gone`."""
-    return keyed.join(gone.select(KEY).distinct(), KEY, "left_anti").drop(KEY)
+def _without(named: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of `named` but those named in `gone`.
+
+    The rejected names are stored and counted: up to a bound they are broadcast, so that no text is
+    shuffled; beyond it both sides are.
+    """
+    gone = stored(gone.select(KEY).distinct(), "rejected")
+    if gone.count() <= BROADCAST_NAMES:
+        gone = F.broadcast(gone)
+    return named.join(gone, KEY, "left_anti").drop(KEY)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +46,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language: those that are `und` or that no language explains go."""
-    keyed = _keyed(docs)
-    found = langid.predict(keyed, carried=(KEY,))
-    return _without(keyed, found.where(f"lang_pred = 'und' OR rate > usual_rate + {MAX_EXCESS} * (1 - usual_rate)"))
+    named = docs.withColumn(KEY, row_name())
+    found = langid.predict(named, carried=(KEY,))
+    return _without(named, found.where(f"lang_pred = 'und' OR rate > usual_rate + {MAX_EXCESS} * (1 - usual_rate)"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +58,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window."""
-    keyed = _keyed(docs)
-    found = winnow.hits(keyed.withColumn("doc_id", F.col(KEY)), table(spark, sf_dir, "benchmark"))
-    return _without(keyed, found.withColumnRenamed("doc_id", KEY))
+    named = docs.withColumn(KEY, row_name())
+    found = winnow.hits(named.withColumn("doc_id", F.col(KEY)), table(spark, sf_dir, "benchmark"))
+    return _without(named, found.withColumnRenamed("doc_id", KEY))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
