@@ -543,6 +543,26 @@ def extract_sql(
         where upper(a.insert_status) = 'SUCCESS' and rtrim(coalesce(a.extract_status, '')) = ''{bounds}"""
 
 
+def pipe_count_sql(kind: str) -> str:
+    """Rows whose text holds a pipe per text field, over the claims and lines that extracts read."""
+    counted = []
+    for side, source in (("claim", "claims"), ("line", "lines")):
+        fields = sorted({f.name for f in RECORDS[kind] if f.side == side and f.form == "text"})
+        counts = ", ".join(f"""sum(case when "{n}" like '%|%' then 1 else 0 end) as "{n}" """ for n in fields)
+        # DuckDB's unpivot takes columns by name only.
+        listed = ", ".join(f'"{n}"' for n in fields)
+        bound = f"and claim_fact_key in (select claim_fact_key from claims_{kind.lower()})"
+        counted.append(f"""
+            select '{kind}' as kind, '{side}' as side, field, rows, cast(with_pipe as bigint) as with_pipe
+            from (unpivot (
+                select count(*) as rows, {counts} from {source}_{kind.lower()}
+                where claim_fact_key in (select claim_number from audit
+                    where upper(insert_status) = 'SUCCESS' and rtrim(coalesce(extract_status, '')) = '')
+                    {bound if side == "line" else ""}
+            ) on {listed} into name field value with_pipe)""")
+    return " union all ".join(counted)
+
+
 def slots_sql(groups: list[tuple[str, str, int, int, list[tuple[str, str]]]]) -> str:
     """Numbered slots by conditional maximum, for every claim that has any list entry."""
     columns, tables = [], []
@@ -725,6 +745,7 @@ FINAL = {
         from claims_professional c""",
     "extract_professional": extract_sql("PROFESSIONAL"),
     "extract_institutional": extract_sql("INSTITUTIONAL"),
+    "record_pipe_count": f"{pipe_count_sql('INSTITUTIONAL')} union all {pipe_count_sql('PROFESSIONAL')}",
     "built_records_professional": extract_sql("PROFESSIONAL", claims="built_professional"),
     "built_records_institutional": extract_sql("INSTITUTIONAL", claims="built_institutional"),
     "extract_slice": extract_sql("PROFESSIONAL", WINDOW, SLICE),

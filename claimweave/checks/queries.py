@@ -36,7 +36,12 @@ from claimweave.operators.records import join_runs, render_runs
 from claimweave.plans import bridge, clinical, header, member, provider
 from claimweave.plans.amounts import MONEY, claim_amounts
 from claimweave.plans.assemble import BuildOptions, accepted, build_claims, rejected
-from claimweave.plans.extract import extract_records, lookup_copies, translate_bill_type
+from claimweave.plans.extract import (
+    extract_records,
+    lookup_copies,
+    record_pipe_count,
+    translate_bill_type,
+)
 from claimweave.plans.records import Field
 from claimweave.sources import Warehouse
 from claimweave.sources.sample import SampleViews, sample_staging, sample_warehouse
@@ -521,6 +526,20 @@ def extract(
 
 QUERIES["extract_professional"] = extract("professional")
 QUERIES["extract_institutional"] = extract("institutional")
+
+
+@on_spark
+def pipe_count(spark, folder):
+    counted = [
+        record_pipe_count(sample_staging(spark, folder, kind), kind).withColumn("kind", F.lit(kind))
+        for kind in ("INSTITUTIONAL", "PROFESSIONAL")
+    ]
+    return counted[0].unionByName(counted[1])
+
+
+QUERIES["record_pipe_count"] = QUERIES.pop("pipe_count")
+
+
 def built_records(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     """From warehouse to records: build, number the lists, stage, extract."""
     wh = sample_warehouse(spark, folder)

@@ -6,12 +6,14 @@ from claimweave.functions.rules import (
     blank,
     claim_type_from_taxonomy,
     filled,
+    folded,
     in_version,
     left_n,
     not_deleted,
     not_in_workbasket,
     number_or_null,
     number_text,
+    one_of,
     or_empty,
     pad_bill_type,
     poa_code,
@@ -29,12 +31,14 @@ __all__ = [
     "claim_type_from_taxonomy",
     "element",
     "filled",
+    "folded",
     "in_version",
     "left_n",
     "not_deleted",
     "not_in_workbasket",
     "number_or_null",
     "number_text",
+    "one_of",
     "or_empty",
     "pad_bill_type",
     "poa_code",

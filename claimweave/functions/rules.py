@@ -17,12 +17,12 @@ NEVER_DATE = dt.date(1900, 1, 1)
 
 def not_deleted(flag: Column) -> Column:
     """Keep rows whose soft-delete flag is not ``Y`` in any case; a missing flag counts as live."""
-    return F.coalesce(F.rtrim(F.upper(flag)), F.lit("")) != DELETED
+    return or_empty(folded(flag)) != DELETED
 
 
 def not_in_workbasket(status: Column) -> Column:
     """Keep settled records. A missing status stays unknown, so a filter rejects the row."""
-    return ~F.rtrim(F.upper(status)).isin(*WORKBASKET_STATUSES)
+    return ~one_of(status, WORKBASKET_STATUSES)
 
 
 def in_version(as_of: Column, start: Column, end: Column) -> Column:
@@ -43,9 +43,19 @@ def filled(value: Column) -> Column:
     return ~blank(value)
 
 
+def folded(value: Column) -> Column:
+    """The form in which texts are compared: upper case, without blanks at the end."""
+    return F.rtrim(F.upper(value))
+
+
 def same_text(value: Column, literal: str) -> Column:
     """Case-insensitive equality with a literal; blanks at the end do not count."""
-    return F.rtrim(F.upper(value)) == literal.upper()
+    return folded(value) == literal.upper()
+
+
+def one_of(value: Column, literals: tuple[str, ...]) -> Column:
+    """The same equality with any literal of a list."""
+    return folded(value).isin(*(text.upper() for text in literals))
 
 
 def left_n(value: Column, width: int) -> Column:
@@ -88,7 +98,7 @@ def bill_type_code(value: Column) -> Column:
 
 def poa_code(value: Column) -> Column:
     """One-letter present-on-admission code; the two *not stated* codes become empty."""
-    return F.when(value.isin(*POA_NOT_STATED), F.lit("")).otherwise(left_n(value, 1))
+    return F.when(one_of(value, POA_NOT_STATED), F.lit("")).otherwise(left_n(value, 1))
 
 
 def presence_qualifier(value: Column) -> Column:
@@ -97,4 +107,4 @@ def presence_qualifier(value: Column) -> Column:
 
 def claim_type_from_taxonomy(taxonomy: Column) -> Column:
     """``A`` for ambulatory surgery billing, ``P`` for every other or missing taxonomy."""
-    return F.when(taxonomy == AMBULATORY_TAXONOMY, F.lit("A")).otherwise(F.lit("P"))
+    return F.when(same_text(taxonomy, AMBULATORY_TAXONOMY), F.lit("A")).otherwise(F.lit("P"))

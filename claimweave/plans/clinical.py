@@ -10,6 +10,7 @@ from claimweave.functions import (
     filled,
     left_n,
     not_deleted,
+    one_of,
     poa_code,
     xml_list,
     yyyymmdd,
@@ -178,7 +179,7 @@ def latest_payment(wh: Warehouse, claim_keys: DataFrame | None = None) -> DataFr
         links = links.join(claim_keys.select("claim_fact_key"), "claim_fact_key", "left_semi")
     newest = links.groupBy("claim_fact_key").agg(F.max("payment_fact_key").alias("_newest"))
     paid = wh["payment_fact"].filter(
-        F.col("payment_status_code").isin(*PAID_STATUSES) & not_deleted(F.col("deleted_flag"))
+        one_of(F.col("payment_status_code"), PAID_STATUSES) & not_deleted(F.col("deleted_flag"))
     ).drop("deleted_flag")
     dated = lookup_join(
         paid, wh.codes("date_dimension"), ("payment_date_key", "date_key"), ["date_value"]

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweave.functions import left_n, not_deleted, poa_code
+from claimweave.functions import left_n, not_deleted, poa_code, same_text
 from claimweave.operators.joins import lookup_join, spread_null_join
 from claimweave.plans.columns import HEADER_TEXT, text_columns
 from claimweave.sources import Warehouse
@@ -125,7 +125,7 @@ def claim_details(
     facts = prior_claim(facts, wh)
     facts = add_medicare_id(facts, wh, options)
     prior_id = F.when(
-        F.col("is_adjusted") == "Y", F.coalesce(left_n(F.col("_prior_id"), 25), F.lit(""))
+        same_text(F.col("is_adjusted"), "Y"), F.coalesce(left_n(F.col("_prior_id"), 25), F.lit(""))
     ).otherwise(F.lit(""))
     return facts.select(
         *PLAIN_COLUMNS,

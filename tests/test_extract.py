@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from claimweave import Staging, extract_records, write_records
 from claimweave.operators.skew import frequent_keys, salted_join
+from claimweave.plans.extract import record_pipe_count
 from claimweave.plans.records import RECORDS
 from small import values
 
@@ -56,6 +57,33 @@ def test_missing_lookup_row_makes_the_record_null_but_keeps_the_line(spark):
         (1, False), (2, True), (3, True), (4, True)]
 
 
+def test_lookup_rows_meet_whatever_their_case_and_trailing_blanks(spark):
+    rows = [("int005 ", "Bill_Type", "1x ", "MIXED")]
+    data = staged(spark, "INSTITUTIONAL", [(1, DAY, 1, "01X0")], [(1, 1)], rows)
+    at = [f.side for f in RECORDS["INSTITUTIONAL"]].index("lookup")
+    text = extract_records(data, "institutional").first().claim_data
+    assert text.split("|")[at] == "MIXED"
+
+
+def test_pipes_are_counted_per_field_over_due_rows(spark):
+    claims = [(1, DAY, 1), (2, DAY, 2), (3, DAY, 3)]
+    audit = [(1, "SUCCESS", None), (1, "SUCCESS", None), (2, "SUCCESS", None), (3, "FAILED", None)]
+    data = staged(spark, "PROFESSIONAL", claims, [(1, 1), (1, 2), (3, 3)], audit=audit)
+    piped = F.when(F.col("claim_fact_key") != 2, "a|b||c")
+    data = Staging(
+        data.audit, data.claims.withColumn("CLAIM_NOTE_TEXT", piped),
+        data.lines.withColumn("LINE_NOTE_TEXT", F.lit("|")),
+    )
+    counts = record_pipe_count(data, "professional")
+    found = counts.filter("with_pipe > 0")
+    assert values(found, "side", "field", "rows", "with_pipe") == [
+        ("claim", "CLAIM_NOTE_TEXT", 2, 1), ("line", "LINE_NOTE_TEXT", 2, 2)]
+    texts = {(f.side, f.name) for f in RECORDS["PROFESSIONAL"] if f.form == "text"}
+    assert counts.count() == len(texts)
+    none = record_pipe_count(data, "professional", seq_range=(7, 9))
+    assert values(none.agg(F.sum("rows"), F.sum("with_pipe"))) == [(0, 0)]
+
+
 def test_lookup_code_stored_twice_fails_only_when_used(spark):
     twice = [*LOOKUP, ("INT005", "BILL_TYPE", "11", "again")]
     used = staged(spark, "INSTITUTIONAL", [(1, DAY, 1, "0110")], [(1, 1)], twice)

@@ -55,11 +55,12 @@ def test_bill_type_forms(spark, bill_type, padded, code):
 
 def test_poa_codes(spark):
     assert apply(spark, ["N/S", "N/A", "Yes", "", None], fn.poa_code) == ["", "", "Y", "", None]
+    assert apply(spark, ["n/s", "N/A  ", " N/A"], fn.poa_code) == ["", "", " "]
 
 
 def test_taxonomy_decides_claim_type(spark):
-    codes = ["261QA1903X", "207Q", None]
-    assert apply(spark, codes, fn.claim_type_from_taxonomy) == ["A", "P", "P"]
+    codes = ["261QA1903X", "261qa1903x ", "207Q", None]
+    assert apply(spark, codes, fn.claim_type_from_taxonomy) == ["A", "A", "P", "P"]
 
 
 def test_numbers_and_dates(spark):
