@@ -749,6 +749,11 @@ FINAL = {
     "built_records_professional": extract_sql("PROFESSIONAL", claims="built_professional"),
     "built_records_institutional": extract_sql("INSTITUTIONAL", claims="built_institutional"),
     "extract_slice": extract_sql("PROFESSIONAL", WINDOW, SLICE),
+    "cds_outcomes": f"""select "CLAIM_FACT_KEY", 'accepted' as outcome, cast(null as varchar) as reject_reason
+        from ({CDS_PROFESSIONAL}) w union all
+        select "CLAIM_FACT_KEY", 'rejected' as outcome, reject_reason from ({REJECTED_PROFESSIONAL}) r""",
+    "extract_laid_out": extract_sql("PROFESSIONAL", WINDOW, SLICE),
+    "published_slice": f"select claim_data from ({extract_sql('PROFESSIONAL', WINDOW, SLICE)}) s",
 }
 
 

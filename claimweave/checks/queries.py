@@ -33,6 +33,7 @@ from claimweave.operators import (
     of_type,
 )
 from claimweave.operators.records import join_runs, render_runs
+from claimweave.operators.stage import new_folder
 from claimweave.plans import bridge, clinical, header, member, provider
 from claimweave.plans.amounts import MONEY, claim_amounts
 from claimweave.plans.assemble import BuildOptions, accepted, build_claims, rejected
@@ -43,8 +44,10 @@ from claimweave.plans.extract import (
     translate_bill_type,
 )
 from claimweave.plans.records import Field
-from claimweave.sources import Warehouse
+from claimweave.plans.outcomes import ACCEPTED, REJECTED, read_outcome, write_outcomes
+from claimweave.sources import Staging, Warehouse
 from claimweave.sources.sample import SampleViews, sample_staging, sample_warehouse
+from claimweave.sources.sinks import publish_records, read_published, write_staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -568,5 +571,41 @@ def built_records_institutional(spark, folder):
 QUERIES["extract_slice"] = extract("professional", SLICE, WINDOW)
 
 
+# Written results.
+
+
+@on_warehouse
+def cds_outcomes(wh):
+    """Both outcomes of the professional claims, from one run of the build."""
+    rows = build_claims(wh, PAYER, options=OPTIONS).professional
+    folder = new_folder(rows.sparkSession, "outcomes")
+    write_outcomes(rows, folder)
+    kept, left_out = (
+        read_outcome(rows.sparkSession, folder, "professional", outcome)
+        for outcome in (ACCEPTED, REJECTED)
+    )
+    return kept.select(
+        "CLAIM_FACT_KEY", F.lit(ACCEPTED).alias("outcome"), F.lit(None).cast("string").alias("reject_reason")
+    ).unionByName(left_out.select("CLAIM_FACT_KEY", F.lit(REJECTED).alias("outcome"), "reject_reason"))
+
+
+@on_spark
+def extract_laid_out(spark, folder):
+    """The slice and window of ``extract_slice`` from staging tables laid out for them."""
+    root = new_folder(spark, "staging")
+    write_staging(sample_staging(spark, folder, "professional"), root, "professional")
+    return extract_records(Staging.from_files(spark, root, "professional"), "professional", SLICE, WINDOW)
+
+
+@on_spark
+def published_slice(spark, folder):
+    """The records of ``extract_slice``, published and then published once more, as readers see them."""
+    root = new_folder(spark, "published")
+    records = QUERIES["extract_slice"](spark, folder)
+    for _ in range(2):
+        publish_records(records, root, "slice")
+    return read_published(spark, root, "slice")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

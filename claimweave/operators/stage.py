@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import cache
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -21,15 +22,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     on one machine that names no shared folder gets a folder of its own, removed when it ends; on a
     cluster the setting is required.
     """
-    spark = df.sparkSession
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A path that no other table has, on the cluster's shared folder."""
     shared = spark.conf.get(CHECKPOINT_SETTING, None)
-    if not shared and spark.sparkContext.master.startswith("local"):
+    if not shared and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         shared = _own_folder()
     if not shared:
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    path = f"{shared.rstrip('/')}/claimweave/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{shared.rstrip('/')}/claimweave/{label}-{uuid.uuid4().hex}"
 
 
 def stage_together(**frames: DataFrame) -> list[DataFrame]:
