@@ -162,5 +162,95 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit,
 FROM r JOIN d USING (name) LEFT JOIN words USING (name) LEFT JOIN items USING (name)
 """
 
-#: SQL for the operators that DuckDB can express. It has no crc32, BPE, zstd, HTML or suffix automata.
-ORACLE_SQL = {"op3_quality_cascade": _OP3, "op6_winnowing": _OP6}
+
+
+def _crc32(value: str) -> str:
+    """CRC-32 of a text's UTF-8, a byte at a time by the table of its reflected polynomial."""
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    step = f"xor(({table})[(xor(c, b) & 255) + 1], c >> 8)"
+    bytes_ = f"list_transform(regexp_extract_all(hex(encode({value})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(list_reduce({bytes_}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+_OP7 = f"""
+WITH r AS (
+  SELECT doc_id, source, strlen(coalesce(text, '')) + 16 AS size, {_crc32("coalesce(text, '')")} AS text_crc32,
+    md5(concat_ws(':', '7', doc_id::VARCHAR)) AS shuffle FROM documents
+), w AS (
+  SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY shuffle, doc_id NULLS FIRST) - 1)
+    / (2 * count(*) OVER (PARTITION BY source))::DOUBLE AS fraction FROM r
+), p AS (
+  SELECT *, row_number() OVER (ORDER BY fraction, source NULLS FIRST, shuffle, doc_id NULLS FIRST) - 1 AS place,
+    count(*) OVER () AS total FROM w
+), s AS (SELECT *, place * 40 // total AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM s
+"""
+
+_OP8 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (('0x' || substr(hex, k // 4 * 5 + 1, 5))::BIGINT >> (15 - 5 * (k % 4)) & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+def _leaf(**replaced: str) -> str:
+    """The leaf's digest; the columns' text is replaced by name."""
+    columns = (replaced.get(c, f"{c}::VARCHAR") for c in ("doc_id", "source", "lang", "n_chars", "text"))
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in columns) + ")"
+
+
+#: Trees of language `g` (1 and up, in order) are reduced level by level, then that of the subroots (0).
+_OP12 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS g, {_leaf()} AS leaf,
+    CASE WHEN {_crc32("doc_id::VARCHAR")} % 7 = 0 THEN {_leaf(n_chars="(n_chars + 1)::VARCHAR")} ELSE {_leaf()} END AS now
+  FROM documents
+), l AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d
+), tree(g, level, i, node, n) AS (
+  SELECT g, 0, i, leaf, n FROM l
+  UNION ALL
+  SELECT g, level + 1, i // 2, sha256(string_agg(node, '' ORDER BY i)), (n + 1) // 2 FROM tree WHERE n > 1 GROUP BY g, level, i // 2, n
+), top(level, i, node, n) AS (
+  SELECT 0, g - 1, node, (SELECT max(g) FROM d) FROM tree WHERE n = 1
+  UNION ALL
+  SELECT level + 1, i // 2, sha256(string_agg(node, '' ORDER BY i)), (n + 1) // 2 FROM top WHERE n > 1 GROUP BY level, i // 2, n
+), nodes AS (SELECT * FROM tree UNION ALL SELECT 0, * FROM top), wide AS (
+  SELECT DISTINCT g, level FROM nodes WHERE n > 1
+), places AS (
+  SELECT l.g, l.i, w.g = 0 AS above, w.level, w.g AS h, CASE WHEN w.g = 0 THEN l.g - 1 ELSE l.i END >> w.level AS place
+  FROM l JOIN wide w ON w.g IN (0, l.g)
+), steps AS (
+  SELECT p.g, p.i, string_agg(s.node, '' ORDER BY above, p.level) AS proof,
+    list(CASE WHEN s.node IS NULL THEN '-' WHEN place % 2 = 1 THEN '<' || s.node ELSE '>' || s.node END ORDER BY above, p.level) AS folds
+  FROM places p LEFT JOIN nodes s ON s.g = h AND s.level = p.level AND s.i = xor(place, 1) GROUP BY p.g, p.i
+), f AS (
+  SELECT l.doc_id, l.leaf, l.g, sha256(coalesce(proof, '')) AS proof_sha256,
+    list_reduce(coalesce(folds, []), lambda x, s: sha256(CASE s[1] WHEN '<' THEN s[2:] || x WHEN '>' THEN x || s[2:] ELSE x END), now)
+      AS folded_root
+  FROM l LEFT JOIN steps s ON s.g = l.g AND s.i = l.i
+)
+SELECT doc_id, leaf, t.node AS subroot, r.node AS root, proof_sha256, folded_root, folded_root = r.node AS verified
+FROM f JOIN tree t ON t.g = f.g AND t.n = 1 JOIN top r ON r.n = 1
+"""
+
+#: SQL for the operators that DuckDB can express. It has no BPE, zstd, HTML or suffix automata.
+ORACLE_SQL = {
+    "op3_quality_cascade": _OP3,
+    "op6_winnowing": _OP6,
+    "op7_interleaved_shards": _OP7,
+    "op8_warc_dictionary": _OP8,
+    "op12_merkle_manifest": _OP12,
+}

@@ -12,7 +12,7 @@ from claimweave.llm import queries
 def test_query_matches_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     with duckdb.connect() as duck:
-        for table in ("documents", "benchmark"):
+        for table in ("documents", "benchmark", "pages"):
             duck.execute(f"create view {table} as select * from '{folder}/{table}.parquet'")
         cursor = duck.execute(queries.ORACLE_SQL[name])
         columns = [c[0] for c in cursor.description]
