@@ -1,9 +1,10 @@
 """WARC archives with a Zstandard dictionary: a writer, a reader, and deduplication by payload digest.
 
 A file begins with a skippable frame (magic 0x184D2A5D) that holds the dictionary; then each record is a
-frame of its own, so a record can be read alone. The dictionary is trained on at most SAMPLE_ROWS
-records and SAMPLE_BYTES of text; where they are too few or too alike to train on, the file has no
-dictionary frame. Of records with equal payloads the one with the smallest page_id is the response, the
+frame of its own, so a record can be read alone. The dictionary is trained on about SAMPLE_ROWS
+records drawn from the whole table, the first SAMPLE_CHARS of each payload and SAMPLE_BYTES in all (which
+bounds what is learned from, not what is written); where they are too few or too alike to train on, the
+file has no dictionary frame. Of records with equal payloads the one with the smallest page_id is the response, the
 others are revisits that refer to it and repeat its HTTP header with the full length, without payload.
 
 Tasks write files to a folder all executors share, under names of their own that are never reused, and
@@ -38,6 +39,11 @@ FILE_BYTES = 32 << 20
 DICT_BYTES = 64 << 10
 SAMPLE_ROWS = 2_000
 SAMPLE_BYTES = 16 << 20
+SAMPLE_CHARS = 16 << 10
+#: Bytes of archives that a task reads back.
+READ_BYTES = 256 << 20
+#: Names that Spark's file systems have for schemes of pyarrow's.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
 #: Fixed value: the date of records, so that archives don't depend on the clock.
 DATE = "2024-01-01T00:00:00Z"
 #: Payloads written more than once are broadcast up to this number of them, at about 100 bytes each.
@@ -97,15 +103,23 @@ def record(page, url: str | None, payload: bytes, original) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def train(rows: DataFrame, size: int = DICT_BYTES) -> bytes:
-    """A dictionary from a bounded sample of the records; empty if none can be made of them."""
+def train(pages: DataFrame, size: int = DICT_BYTES) -> bytes:
+    """A dictionary from a bounded sample of the pages, equal payloads once; empty if none can be made of them.
+
+    Every row is drawn at the same rate, so nothing is shuffled; the driver gets the drawn rows, their payloads cut.
+    """
+    share = min(1.0, SAMPLE_ROWS / max(1, pages.count()))
+    drawn = pages.sample(share, seed=9).select("page_id", "url", F.substring("html", 1, SAMPLE_CHARS).alias("html"))
     total = 0
-    samples = []
-    for r in rows.where("page_id <=> original").limit(SAMPLE_ROWS).toLocalIterator():
+    samples, seen = [], set()
+    for r in drawn.collect():
         if total >= SAMPLE_BYTES:
             break
-        samples.append(record(r["page_id"], r["url"], bytes(r["payload"]), r["original"])[: SAMPLE_BYTES // 16])
-        total += len(samples[-1])
+        html = r["html"] or ""
+        if html not in seen:
+            seen.add(html)
+            samples.append(record(r["page_id"], r["url"], html.encode(), r["page_id"]))
+            total += len(samples[-1])
     try:
         # A dictionary wants several times its size of samples.
         return zstandard.train_dictionary(min(size, total // 8), samples).as_bytes() if len(samples) >= 8 else b""
@@ -114,7 +128,10 @@ def train(rows: DataFrame, size: int = DICT_BYTES) -> bytes:
 
 
 def _open(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    if "://" not in folder and not folder.startswith("file:"):
+        return fs.LocalFileSystem(), folder
+    scheme, _, rest = folder.partition(":")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
 
 
 def write_archives(rows: DataFrame, folder: str, dictionary: bytes, level: int = 3) -> DataFrame:
@@ -258,15 +275,17 @@ def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
     files, local = _open(folder)
     files.create_dir(local, recursive=True)
     rows = with_originals(pages)
-    return stored(write_archives(rows, folder, train(rows)), "warc-index")
+    return stored(write_archives(rows, folder, train(pages)), "warc-index")
 
 
 def archived(pages: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to, as read back from the archives."""
     kind = pages.schema["page_id"].dataType
     index = archive_pages(pages)
-    # One archive a task: the index has a row for each.
-    read = read_archives(index.repartition(max(1, index.count())), with_payload=False)
+    # A task for each core where archives are few, else one for READ_BYTES of them.
+    sizes = index.agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    tasks = max(pages.sparkSession.sparkContext.defaultParallelism, sizes["bytes"] // READ_BYTES)
+    read = read_archives(index.repartition(max(1, min(sizes["n"], tasks))), with_payload=False)
     return read.select(
         F.col("page_id").cast(kind).alias("page_id"),
         "payload_bytes",

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import public_tokenizers as tokenizers
+import numpy as np
 import pytest
 
 from claimweave.llm import backoff, bpe, html_main, langid, token_counts, warc
@@ -112,6 +113,30 @@ def test_language_of_held_out_documents(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def naive_phrases(text, sample):
+    """Phrases of a text by the longest match in a sample, block by block; an unknown letter is one of its own."""
+    found = 0
+    for start in range(0, len(text), langid.BLOCK):
+        block, at = text[start : start + langid.BLOCK], 0
+        while at < len(block):
+            end = at + 1
+            while end < len(block) and block[at : end + 1] in sample:
+                end += 1
+            found, at = found + 1, end
+    return found
+
+
+def test_phrases_are_those_of_a_naive_parser():
+    rng = random.Random(6)
+    samples = ["".join(rng.choice(letters) for _ in range(n)) for letters, n in (("abc", 400), ("abcdef", 90), ("f", 5), ("ab", 1))]
+    texts = ["", "a", "f", "ff", "gg", "agbga", "abc" * 400, "g" * 600]
+    texts += ["".join(rng.choice("aabbccdefg") for _ in range(n)) for n in (3, 40, 511, 512, 513, 1024, 2000)]
+    texts += [samples[0] * 3, samples[1][20:70], samples[0][100:300] + "g" + samples[0][:50]]
+    numbers = [np.array([ord(c) - 97 for c in t], dtype=np.int32) for t in texts]
+    tables = [langid.Packed(langid.suffix_automaton([ord(c) - 97 for c in s]), 7) for s in samples]
+    assert langid._phrases(numbers, tables).tolist() == [[naive_phrases(t, s) for t in texts] for s in samples]
+
+
 def test_language_edge_cases(docs_of):
     rows = [(i, "the house and the garden of winter " * 3, "en") for i in range(30)]
     rows += [(100 + i, "das Haus und der Garten im Winter " * 3, "de") for i in range(30)]
@@ -285,6 +310,26 @@ def test_archives_read_back(pages_of, monkeypatch, limit):
     assert Counter(tuple(r) for r in got.collect()) == expected_records(rows)
 
 
+def test_dictionary_is_learned_from_the_whole_table(spark, pages_of, monkeypatch):
+    monkeypatch.setattr(warc, "SAMPLE_ROWS", 400)
+    seen = []
+    monkeypatch.setattr(warc, "record", lambda *r: seen.append(r) or b"x" * 100)
+    rows = [(i, "u", f"{i} " + "z" * 30_000) for i in range(1000)]
+    warc.train(pages_of(rows + rows[:500]).repartitionByRange(10, "page_id"))
+    assert 250 < len(seen) < 550 and {r[0] // 100 for r in seen} == set(range(10))
+    assert len({r[2] for r in seen}) == len(seen) and all(len(r[2]) == warc.SAMPLE_CHARS for r in seen)
+
+
+def test_folders_of_spark_schemes_are_opened(tmp_path):
+    assert warc._open(f"file://{tmp_path}/a")[1] == warc._open(f"{tmp_path}/a")[1] == f"{tmp_path}/a"
+    opened = []
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(warc, "fs", type("fs", (), {"FileSystem": type("F", (), {"from_uri": staticmethod(opened.append)})}))
+        warc._open("s3a://bucket/a:b")
+        warc._open("hdfs://node/a")
+    assert opened == ["s3://bucket/a:b", "hdfs://node/a"]
+
+
 def test_archives_of_few_pages_have_no_dictionary(pages_of):
     assert warc.archived(pages_of([])).count() == 0
     got = warc.archived(pages_of([(1, "u", "a"), (2, "u", "a")])).collect()
