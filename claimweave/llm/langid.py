@@ -210,16 +210,15 @@ def _phrases(texts: list[np.ndarray], tables: list[Packed]) -> np.ndarray:
     out = np.zeros((len(tables), len(texts)), dtype=np.int64)
     for k, table in enumerate(tables):
         state = np.zeros(len(begin), dtype=np.int32)
-        begun = np.zeros(len(begin), dtype=np.int64)
+        ends = np.ones(len(begin), dtype=np.int64)  # the last phrase of each block
         for i in range(int(length[0])):
             n = alive[i]
             letter = flat[begin[:n] + i]
             cell = table.base[state[:n]] + letter
-            # In state 0 no phrase is open: a block begins, or a letter that the sample lacks was one.
-            new = (table.owner[cell] != state[:n]) | (state[:n] == 0)
-            begun[:n] += new
-            state[:n] = np.where(new, table.root[letter], table.next[cell])
-        np.add.at(out[k], owner, begun)
+            stop = table.owner[cell] != state[:n]
+            ends[:n] += stop
+            state[:n] = np.where(stop, table.root[letter], table.next[cell])
+        np.add.at(out[k], owner, ends)
     return out
 
 
