@@ -2,6 +2,7 @@
 
 from claimweave.operators.gate import audit_passed, in_slice, in_window, of_type
 from claimweave.operators.joins import asof_join, lookup_join, spread_null_join
+from claimweave.operators.keys import only_keys
 from claimweave.operators.lines import drop_superseded_lines
 from claimweave.operators.lists import list_to_slots, ordered_list
 from claimweave.operators.picks import first_non_null, latest_value
@@ -22,6 +23,7 @@ __all__ = [
     "list_to_slots",
     "lookup_join",
     "of_type",
+    "only_keys",
     "ordered_list",
     "release",
     "render_runs",

@@ -230,8 +230,8 @@ def institutional_rows(
         provider.rendering_key(scalars), billing.drop(*kept), wh
     )
     referring = provider.referring_provider(scalars, wh)
-    diagnoses = clinical.diagnosis_arrays(clinical.claim_diagnosis(claims, wh))
-    procedures = clinical.procedure_array(clinical.claim_procedure(claims, wh))
+    diagnoses = clinical.diagnosis_arrays(clinical.claim_diagnosis(claims, wh, claim_keys))
+    procedures = clinical.procedure_array(clinical.claim_procedure(claims, wh, claim_keys))
     return star(
         claims,
         [
@@ -257,7 +257,7 @@ def professional_rows(
     scalars = provider.claim_scalars(facts)
     members = stage(member_details(claims, wh, options.as_of), "members")
     billing = provider.billing_provider(scalars, wh)
-    diagnoses = clinical.professional_diagnosis_array(clinical.claim_diagnosis(claims, wh))
+    diagnoses = clinical.professional_diagnosis_array(clinical.claim_diagnosis(claims, wh, claim_keys))
     per_claim = Window.partitionBy("claim_fact_key")
     rows = star(
         claims,
@@ -341,8 +341,11 @@ def build_claims(
 ) -> ClaimBuild:
     """Wide claim tables for all live claims, or for those in ``claim_keys``.
 
-    The header is read by many branches, so it is materialised once. Claims of other types get a
-    header row only. Split a result with ``accepted`` and ``rejected``.
+    The header is read by many branches, so it is materialised once, and so are the keys, which restrict
+    every fact table. Claims of other types get a header row only. Split a result with ``accepted`` and
+    ``rejected``.
     """
+    if claim_keys is not None:
+        claim_keys = stage(claim_keys.select("claim_fact_key").distinct(), "keys")
     header = stage(claim_details(wh, payer_short, claim_keys, options.header), "header")
     return ClaimBuild(header, wh, options, claim_keys)

@@ -16,6 +16,7 @@ from claimweave.functions import (
     yyyymmdd,
 )
 from claimweave.operators.joins import asof_join, lookup_join
+from claimweave.operators.keys import only_keys
 from claimweave.operators.lists import ordered_list
 from claimweave.sources import Warehouse
 
@@ -35,10 +36,12 @@ def for_claims(facts: DataFrame, claims: DataFrame) -> DataFrame:
     return claims.select("claim_fact_key").join(facts, "claim_fact_key")
 
 
-def claim_diagnosis(claims: DataFrame, wh: Warehouse) -> DataFrame:
+def claim_diagnosis(
+    claims: DataFrame, wh: Warehouse, claim_keys: DataFrame | None = None
+) -> DataFrame:
     """Live diagnoses of each claim with the standard code and the POA letter."""
     rows = lookup_join(
-        wh.live("claim_fact_to_diagnosis"), wh.codes("diagnosis"), ("diagnosis_code", "diagnosis_code"),
+        only_keys(wh.live("claim_fact_to_diagnosis"), claim_keys), wh.codes("diagnosis"), ("diagnosis_code", "diagnosis_code"),
         [left_n(F.col("standardized_diagnosis_code"), 7).alias("_standard")], how="inner",
     )
     rows = lookup_join(
@@ -58,10 +61,12 @@ def claim_diagnosis(claims: DataFrame, wh: Warehouse) -> DataFrame:
     )
 
 
-def claim_procedure(claims: DataFrame, wh: Warehouse) -> DataFrame:
+def claim_procedure(
+    claims: DataFrame, wh: Warehouse, claim_keys: DataFrame | None = None
+) -> DataFrame:
     """Live procedures of each claim; a missing date becomes 1900-01-01."""
     rows = lookup_join(
-        wh.live("claim_fact_to_procedure_code"), wh.codes("date_dimension"),
+        only_keys(wh.live("claim_fact_to_procedure_code"), claim_keys), wh.codes("date_dimension"),
         ("procedure_date_key", "date_key"), [F.col("date_value").alias("_date")],
     )
     return for_claims(
@@ -174,9 +179,7 @@ def latest_payment(wh: Warehouse, claim_keys: DataFrame | None = None) -> DataFr
     The newest link wins even where its payment is not paid or deleted; the date is then empty.
     Links are reduced to one key per claim before payments are joined.
     """
-    links = wh.live("payment_fact_to_claim_fact")
-    if claim_keys is not None:
-        links = links.join(claim_keys.select("claim_fact_key"), "claim_fact_key", "left_semi")
+    links = only_keys(wh.live("payment_fact_to_claim_fact"), claim_keys)
     newest = links.groupBy("claim_fact_key").agg(F.max("payment_fact_key").alias("_newest"))
     paid = wh["payment_fact"].filter(
         one_of(F.col("payment_status_code"), PAID_STATUSES) & not_deleted(F.col("deleted_flag"))

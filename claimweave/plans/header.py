@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimweave.functions import left_n, not_deleted, poa_code, same_text
 from claimweave.operators.joins import lookup_join, spread_null_join
+from claimweave.operators.keys import only_keys
 from claimweave.plans.columns import HEADER_TEXT, text_columns
 from claimweave.sources import Warehouse
 
@@ -38,10 +39,7 @@ class HeaderOptions:
 
 def selected_claims(wh: Warehouse, claim_keys: DataFrame | None = None) -> DataFrame:
     """Live claim facts, all of them or those named by ``claim_keys``."""
-    facts = wh.live("all_claim_fact")
-    if claim_keys is None:
-        return facts
-    return facts.join(claim_keys.select("claim_fact_key"), "claim_fact_key", "left_semi")
+    return only_keys(wh.live("all_claim_fact"), claim_keys)
 
 
 def prior_claim(facts: DataFrame, wh: Warehouse) -> DataFrame:

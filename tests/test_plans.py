@@ -4,12 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimweave.checks.queries import QUERIES
-from claimweave.operators import asof_join, drop_superseded_lines, joins, stage
+from claimweave.operators import asof_join, drop_superseded_lines, joins, only_keys, stage
 from claimweave.operators.broadcast import broadcast_if_small
 from claimweave.operators.joins import spread_null_join
 from claimweave.operators.ordering import ordered_join, split_points
-from claimweave.plans import clinical
-from claimweave.plans.amounts import line_sums
+from claimweave.plans import clinical, header, provider
+from claimweave.plans.amounts import claim_amounts, line_sums
 from claimweave.sources import Warehouse
 from small import values
 
@@ -219,3 +219,63 @@ def test_an_ordered_join_cuts_a_hot_claim_and_holds_on_empty_sides(spark):
     none = lines.limit(0)
     points = split_points(none.select("k", "l"), "k", "l", 4)
     assert ordered_join(claims, none, points, "k", "l", 4).count() == 0
+
+
+def scanned(plan):
+    """Rows that each table scan of a finished plan read."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return scanned(plan.executedPlan())
+    if "QueryStage" in plan.nodeName():
+        return scanned(plan.plan())
+    if plan.nodeName().startswith("Scan parquet"):
+        return [plan.metrics().apply("numOutputRows").value()]
+    return [n for i in range(plan.children().size()) for n in scanned(plan.children().apply(i))]
+
+
+@pytest.fixture(scope="module")
+def sorted_facts(spark, tmp_path_factory):
+    """100,000 facts in ten files sorted by key, and eight keys of the second file."""
+    root = str(tmp_path_factory.mktemp("facts"))
+    facts = spark.range(100_000).select(F.col("id").alias("claim_fact_key"), (F.col("id") % 7).alias("v"))
+    facts.repartitionByRange(10, "claim_fact_key").write.parquet(f"{root}/facts")
+    keys = spark.range(11_000, 19_000, 1_000).select(F.col("id").alias("claim_fact_key"))
+    keys.write.parquet(f"{root}/keys")
+    return spark.read.parquet(f"{root}/facts"), spark.read.parquet(f"{root}/keys")
+
+
+def test_chosen_keys_reach_the_scan_as_a_range(sorted_facts):
+    facts, keys = sorted_facts
+    chosen = only_keys(facts, keys)
+    assert [r["claim_fact_key"] for r in sorted(chosen.collect())] == list(range(11_000, 19_000, 1_000))
+    assert max(scanned(chosen._jdf.queryExecution().executedPlan())) < 25_000
+
+
+def test_many_chosen_keys_thin_out_the_facts_before_their_shuffle(sorted_facts, settings):
+    settings(
+        autoBroadcastJoinThreshold=-1,
+        optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold=0,
+    )
+    facts, keys = sorted_facts
+    plan = plan_of(only_keys(facts, keys).groupBy("claim_fact_key").sum("v"))
+    assert "might_contain" in plan and "LeftSemi" in plan
+
+
+def test_each_fact_table_of_a_build_is_cut_to_the_chosen_keys(files, spark, settings):
+    settings(autoBroadcastJoinThreshold=-1, optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold=0)
+    keys = files["all_claim_fact"].filter("claim_fact_key < 40").select("claim_fact_key")
+    chosen = (
+        header.selected_claims(files, keys),
+        clinical.latest_payment(files, keys),
+        claim_amounts(files["all_claim_fact"], files, keys),
+        provider.first_line_practitioner(files, keys),
+    )
+    for part in chosen:
+        assert "might_contain" in plan_of(part)
+
+
+@pytest.mark.parametrize("rows", [[], [(None,)], [(None,), (3,), (3,)]])
+def test_no_keys_and_null_keys_choose_nothing(spark, rows):
+    keys = spark.createDataFrame(rows, "claim_fact_key long")
+    facts = spark.range(5).withColumnRenamed("id", "claim_fact_key")
+    assert [r[0] for r in only_keys(facts, keys).collect()] == sorted({k for (k,) in rows if k})
+    assert only_keys(facts, None) is facts
