@@ -82,6 +82,10 @@ def claims_of(wh: Warehouse) -> DataFrame:
     return header.claim_details(wh, PAYER)
 
 
+def rows_of(wh: Warehouse) -> DataFrame:
+    return header.claim_rows(wh)
+
+
 def scalars_of(wh: Warehouse) -> DataFrame:
     return provider.claim_scalars(header.selected_claims(wh))
 
@@ -284,7 +288,7 @@ def asof_inner_join(wh):
 
 @on_warehouse
 def claim_drg(wh):
-    return clinical.claim_drg(claims_of(wh), wh)
+    return clinical.claim_drg(rows_of(wh), wh)
 
 
 @on_warehouse
@@ -298,7 +302,7 @@ def split_line_anti_join(wh):
 
 @on_warehouse
 def line_totals(wh):
-    sums = claim_amounts(claims_of(wh), wh)
+    sums = claim_amounts(rows_of(wh), wh)
     return sums.select(
         "claim_fact_key", *(F.col(c).cast(MONEY).alias(c) for c in sums.columns if c != "claim_fact_key")
     )
@@ -319,12 +323,12 @@ def first_line_practitioner(wh):
 
 @on_warehouse
 def supplier_other_id(wh):
-    return provider.supplier_other_id(claims_of(wh), wh)
+    return provider.supplier_other_id(rows_of(wh), wh)
 
 
 @on_warehouse
 def member_other_id(wh):
-    return member.member_other_id(member.member_details(claims_of(wh), wh, AS_OF), wh)
+    return member.member_other_id(member.member_details(rows_of(wh), wh, AS_OF), wh)
 
 
 # Providers.
@@ -352,16 +356,16 @@ def rendering_provider(wh):
 
 @on_warehouse
 def claim_diagnosis(wh):
-    return clinical.claim_diagnosis(claims_of(wh), wh)
+    return clinical.claim_diagnosis(rows_of(wh), wh)
 
 
 @on_warehouse
 def claim_procedure(wh):
-    return clinical.claim_procedure(claims_of(wh), wh)
+    return clinical.claim_procedure(rows_of(wh), wh)
 
 
 def diagnosis_arrays(wh: Warehouse) -> DataFrame:
-    return clinical.diagnosis_arrays(clinical.claim_diagnosis(claims_of(wh), wh))
+    return clinical.diagnosis_arrays(clinical.claim_diagnosis(rows_of(wh), wh))
 
 
 def diagnosis_list(wh: Warehouse, name: str) -> DataFrame:
@@ -385,7 +389,7 @@ def reason_for_visit_list(wh):
 
 
 def procedure_arrays(wh: Warehouse) -> DataFrame:
-    return clinical.procedure_array(clinical.claim_procedure(claims_of(wh), wh))
+    return clinical.procedure_array(clinical.claim_procedure(rows_of(wh), wh))
 
 
 @on_warehouse
@@ -394,7 +398,7 @@ def procedure_list(wh):
 
 
 def plain_arrays(wh: Warehouse) -> DataFrame:
-    return clinical.professional_diagnosis_array(clinical.claim_diagnosis(claims_of(wh), wh))
+    return clinical.professional_diagnosis_array(clinical.claim_diagnosis(rows_of(wh), wh))
 
 
 @on_warehouse
@@ -450,7 +454,7 @@ def claim_details(wh):
 
 @on_warehouse
 def member_details(wh):
-    return member.member_details(claims_of(wh), wh, AS_OF).drop("statement_start_date_key")
+    return member.member_details(rows_of(wh), wh, AS_OF).drop("statement_start_date_key")
 
 
 @on_warehouse

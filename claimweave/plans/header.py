@@ -28,6 +28,12 @@ PLAIN_COLUMNS = (
     "is_voided statement_start_date_key length_of_stay"
 ).split()
 
+# What the parts of a claim are joined on.
+ROW_KEYS = (
+    "claim_fact_key claim_type_name member_key supplier_key statement_start_date_key "
+    "submitted_drg_key calculated_drg_key"
+).split()
+
 
 @dataclass(frozen=True)
 class HeaderOptions:
@@ -140,6 +146,21 @@ def claim_details(
     )
 
 
+def claim_rows(
+    wh: Warehouse,
+    claim_keys: DataFrame | None = None,
+    options: HeaderOptions = HeaderOptions(),
+) -> DataFrame:
+    """The header's rows with their keys only, for parts that are wanted without a header.
+
+    One row per claim and Medicare id row of its member, as in ``claim_details``, without the joins for
+    codes, dates and the prior claim, each of which adds a column and no row where its table's key is unique.
+    """
+    facts = selected_claims(wh, claim_keys).select(*ROW_KEYS)
+    ids = medicare_ids(wh, options).select("_member")
+    return facts.join(ids, facts["member_key"] == ids["_member"], "left").drop("_member")
+
+
 def claim_copies(header: DataFrame) -> DataFrame:
     """claim_fact_key, copies of the claims with several header rows, as several id rows make them."""
     counts = header.groupBy("claim_fact_key").agg(F.count(F.lit(1)).alias("copies"))

@@ -279,3 +279,12 @@ def test_no_keys_and_null_keys_choose_nothing(spark, rows):
     facts = spark.range(5).withColumnRenamed("id", "claim_fact_key")
     assert [r[0] for r in only_keys(facts, keys).collect()] == sorted({k for (k,) in rows if k})
     assert only_keys(facts, None) is facts
+
+
+def test_narrow_claim_rows_are_the_headers_rows(spark, folder):
+    from claimweave.sources.sample import sample_warehouse
+
+    wh = sample_warehouse(spark, folder)
+    assert values(header.claim_rows(wh), *header.ROW_KEYS) == values(
+        header.claim_details(wh, "PAYER"), *header.ROW_KEYS
+    )
