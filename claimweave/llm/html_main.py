@@ -3,13 +3,17 @@
 A page becomes blocks of text in page order, each with its root-to-leaf path of block-level tags and
 class names. Text length and punctuation are summed per path and divided by the path's blocks; the two
 ratios, read in page order, are smoothed by a Gaussian, fused into one score, damped by the share of
-link text and raised in <article> and <main> by the share of the page's text that the outermost one holds; paths whose mean score passes a threshold set by the page's own spread are content. What lies
+link text and raised in <article> and <main> by the share of the page's text that the outermost one holds. Paths
+whose mean score passes a threshold set by the page's own spread and its best path are content. What lies
 in the content's container and isn't furniture goes with it: a short paragraph or a heading has the
 same container as the long ones. So does what comes before the content's end in the <article> or <main> around it.
 
-Furniture is what the page itself names so: tags (nav, header, footer, aside ...), roles, hidden elements,
-and class or id words (ad, cookie, sidebar, comments ...; an <article> by words of comments only). A form, or an
-element named by such a word, that has elements of text and most of the page's text is no furniture.
+Furniture is what the page itself names so: tags (nav, header, footer, aside ...), roles, forms, and class or id words
+(ad, cookie, sidebar, comments ...; an <article> by words of comments only). It is scored like all
+text, its score times DAMPED, so that the threshold decides; text with such a name is never added for its container
+alone, and a page of nothing else has no main text. A <header> in an <article> or <main> is no furniture, as it
+holds the title; nor is a form, or an element named by a word, that has elements of text and most of the
+page's text (of comments: nearly all). Not read at all is what no text is: scripts, styles, hidden elements, form controls, graphics.
 
 Cases: null and empty html, and pages without text, give an empty text; unclosed, stray and unknown tags,
 and tags cut off by the end, are read as browsers do, roughly; one pass over a page takes time in
@@ -36,10 +40,10 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title noembed noframes xmp".split())
-FURNITURE = frozenset(
-    "nav header footer aside menu dialog button select option fieldset datalist svg math canvas object audio "
-    "video applet map head frameset".split()
+UNREAD = frozenset(
+    "button select option fieldset datalist svg math canvas object audio video applet map head frameset".split()
 )
+FURNITURE = frozenset("nav header footer aside menu dialog".split())
 FURNITURE_ROLES = frozenset(
     "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split()
 )
@@ -51,6 +55,8 @@ FURNITURE_WORDS = frozenset(
     "modal overlay widget widgets toolbar pagination pager copyright disclaimer outbrain taboola alert".split()
 )
 COMMENT_WORDS = frozenset("comment comments commentlist respond discussion disqus replies".split())
+#: What the score of named furniture is multiplied by, and the share of the best path's score that content has.
+DAMPED, LEAST = 0.01, 0.1
 #: A start tag of the key ends an open element of these names.
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -58,6 +64,7 @@ CLOSES = {
 }
 #: Elements that an implied end does not reach beyond.
 HOLDERS = frozenset("html body table ul ol dl article main section div td th".split())
+CLOSABLE = frozenset(["p", *(tag for closed in CLOSES.values() for tag in closed)])
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>?|<[!?][^>]*>?", re.DOTALL
@@ -76,17 +83,22 @@ class Block:
     article: int  # number of the innermost <article> or <main>, 0 for none
     named: int  # number of the innermost element that a name makes furniture, 0 for none
     deep: bool  # whether the text lies in an element within that one
+    furniture: bool  # whether it lies in a tag or role of furniture
+    damped: bool = False  # whether it counts as furniture, by tag, role or name
 
 
 @dataclass
 class _Open:
     tag: str
     path: int
+    unread: bool
     furniture: bool
     linked: bool
     article: int
     named: int
     names: bool = False
+    block: _Open | None = None  # the innermost open element that is none of a line, or this one
+    reach: frozenset[str] = frozenset()  # open tags that an implied end reaches
 
 
 @dataclass
@@ -97,24 +109,29 @@ class Page:
     paths: list[tuple[int, str]] = field(default_factory=lambda: [(-1, "")])
     articles: list[int] = field(default_factory=lambda: [0])
     named: list[int] = field(default_factory=lambda: [0])
+    discussions: list[bool] = field(default_factory=lambda: [False])  # which named elements have a word of comments
 
 
 def _attributes(raw: str) -> dict[str, str]:
     return {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(raw)} if raw.strip(" /") else {}
 
 
-def _is_furniture(tag: str, attributes: dict[str, str]) -> bool:
-    if tag in FURNITURE:
+def _is_unread(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether an element holds no text of the page: graphics, form controls, hidden ones."""
+    if tag in UNREAD:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
         return True
-    if attributes.get("role", "").lower() in FURNITURE_ROLES:
-        return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I):
-        return True
-    return False
+    return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I))
+
+
+def _is_furniture(tag: str, attributes: dict[str, str], article: int) -> bool:
+    """Whether a tag or role makes an element furniture; `article` is the number of the <article> or <main> around it."""
+    if tag in FURNITURE:
+        return not (tag == "header" and article)
+    return tag not in ("html", "body", "article", "main") and attributes.get("role", "").lower() in FURNITURE_ROLES
 
 
 def _is_named(tag: str, attributes: dict[str, str]) -> bool:
@@ -123,32 +140,50 @@ def _is_named(tag: str, attributes: dict[str, str]) -> bool:
         return True
     if not attributes or tag in ("html", "body", "main"):
         return False
-    words = _WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")
-    return any(w.lower() in (COMMENT_WORDS if tag == "article" else FURNITURE_WORDS) for w in words)
+    return not _words(attributes).isdisjoint(COMMENT_WORDS if tag == "article" else FURNITURE_WORDS)
 
 
-def _without_named(page: Page) -> list[Block]:
-    """The blocks but those in a named element; one that has elements of text and most of the page's text stays."""
+def _words(attributes: dict[str, str]) -> set[str]:
+    return {w.lower() for w in _WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")}
+
+
+def _damp(page: Page) -> None:
+    """Mark the blocks of furniture: those of its tags and roles, and those in a named element.
+
+    A named element that has elements of text and most of the text outside those tags and roles is none; one
+    with a word of comments only if it has nearly all of it, as readers may write more than the author.
+    Furniture gets paths of its own, as an id makes a name but no path.
+    """
     held = [0] * len(page.named)
     deep = [False] * len(page.named)
     for b in page.blocks:
-        held[b.named] += len(b.text)
-        deep[b.named] |= b.deep
+        if not b.furniture:
+            held[b.named] += len(b.text)
+            deep[b.named] |= b.deep
     total = sum(held)
     for e in range(len(held) - 1, 0, -1):
         held[page.named[e]] += held[e]
         deep[page.named[e]] = True
     gone = [False] * len(held)
     for e in range(1, len(held)):
-        gone[e] = gone[page.named[e]] or not (deep[e] and 2 * held[e] > total)
-    return [b for b in page.blocks if not gone[b.named]]
+        outside = (total - held[e]) * (50 if page.discussions[e] else 1)
+        gone[e] = gone[page.named[e]] or not (deep[e] and held[e] > outside)
+    own: dict[int, int] = {}
+    for b in page.blocks:
+        b.damped = b.furniture or gone[b.named]
+        if b.damped:
+            if b.path not in own:
+                own[b.path] = len(page.paths)
+                page.paths.append(page.paths[b.path])
+            b.path = own[b.path]
 
 
 def read_page(source: str) -> Page:
-    """Blocks of text outside furniture; those in named elements are among them."""
+    """Blocks of text, furniture included."""
     page = Page()
     known: dict[tuple[int, str], int] = {}
-    stack = [_Open("", 0, False, False, 0, 0)]
+    stack = [_Open("", 0, False, False, False, 0, 0)]
+    stack[0].block = stack[0]
     count: Counter[str] = Counter()
     pieces: list[str] = []
     linked = 0
@@ -160,16 +195,16 @@ def read_page(source: str) -> Page:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                block = next((e for e in reversed(stack) if e.tag not in INLINE), stack[0])
+                block = stack[-1].block
                 deep = block.named > 0 and not block.names
-                page.blocks.append(Block(text, block.path, linked, block.article, block.named, deep))
+                page.blocks.append(Block(text, block.path, linked, block.article, block.named, deep, block.furniture))
             pieces.clear()
         linked = 0
 
     def add(raw: str) -> None:
         nonlocal linked
         top = stack[-1]
-        if raw and not top.furniture:
+        if raw and not top.unread:
             text = html.unescape(raw) if "&" in raw else raw
             pieces.append(text)
             if top.linked:
@@ -213,9 +248,9 @@ def read_page(source: str) -> Page:
         if tag not in INLINE:
             flush()
             for ends in CLOSES.get(tag, ()):
-                if count[ends] > 0 and next(e.tag for e in reversed(stack) if e.tag in HOLDERS or e.tag == ends or not e.tag) == ends:
+                if ends in stack[-1].reach:
                     close(ends)
-            if count["p"] > 0 and next(e.tag for e in reversed(stack) if e.tag in HOLDERS or e.tag == "p" or not e.tag) == "p":
+            if "p" in stack[-1].reach:
                 close("p")
         if tag in VOID:
             continue
@@ -236,17 +271,25 @@ def read_page(source: str) -> Page:
         if _is_named(tag, attributes):
             named, names = len(page.named), True
             page.named.append(top.named)
-        stack.append(
-            _Open(
-                tag,
-                path,
-                top.furniture or _is_furniture(tag, attributes),
-                top.linked or tag == "a",
-                article,
-                named,
-                names,
-            )
+            page.discussions.append(not _words(attributes).isdisjoint(COMMENT_WORDS))
+        reach = frozenset() if tag in HOLDERS else top.reach
+        if tag in CLOSABLE:
+            reach |= {tag}
+        element = _Open(
+            tag,
+            path,
+            top.unread or _is_unread(tag, attributes),
+            top.furniture or _is_furniture(tag, attributes, top.article),
+            top.linked or tag == "a",
+            article,
+            named,
+            names,
+            top.block,
+            reach,
         )
+        if tag not in INLINE:
+            element.block = element
+        stack.append(element)
         count[tag] += 1
     flush()
     return page
@@ -290,17 +333,19 @@ def content_paths(page: Page, blocks: list[Block], strictness: float = 0.5) -> s
     outer = _outermost(page)
     held: Counter[int] = Counter()
     for b in blocks:
-        held[outer[b.article]] += len(b.text)
+        if not b.damped:
+            held[outer[b.article]] += len(b.text)
     total = sum(held.values())
     held[0] = 0
     score: Counter[int] = Counter()
     for b, length, stop in zip(blocks, lengths, stops, strict=True):
         share = min(1.0, links[b.path] / max(1, chars[b.path]))
-        article = 1 + held[outer[b.article]] / total
-        score[b.path] += article * math.sqrt(length * (stop + 0.1)) * (1 - share) / n[b.path]
+        known = DAMPED if b.damped else 1 + held[outer[b.article]] / total
+        score[b.path] += known * math.sqrt(length * (stop + 0.1)) * (1 - share) / n[b.path]
     mean = sum(score[b.path] for b in blocks) / len(blocks)
     spread = math.sqrt(sum((score[b.path] - mean) ** 2 for b in blocks) / len(blocks))
-    threshold = min(max(score.values()), max(strictness * mean, mean - spread))
+    best = max(score.values())
+    threshold = min(best, max(strictness * mean, mean - spread, LEAST * best))
     return {p for p in score if score[p] >= threshold and links[p] < 0.5 * chars[p]}
 
 
@@ -326,8 +371,9 @@ def _container(page: Page, weight: Counter[int]) -> tuple[int, list[bool]]:
 def main_text(source: str | None) -> str:
     """The article's text, blocks joined by one space; empty if there is none."""
     page = read_page(source or "")
-    blocks = _without_named(page)
-    if not blocks:
+    _damp(page)
+    blocks = page.blocks
+    if all(b.damped for b in blocks):
         return ""
     chosen = content_paths(page, blocks)
     if not chosen:
@@ -356,7 +402,7 @@ def main_text(source: str | None) -> str:
     def belongs(i: int, b: Block) -> bool:
         if b.path in chosen:
             return True
-        if 2 * links[b.path] > chars[b.path]:
+        if b.damped or 2 * links[b.path] > chars[b.path]:
             return False
         if not inside[b.path]:
             return b.article > 0 and b.article in around and i < last

@@ -266,6 +266,58 @@ def test_main_text_in_a_wrapper_with_a_word_of_furniture():
     assert html_main.main_text("<body><div class='ad'>An advert that is longer than the text.</div><p>Short.</p></body>") == "Short."
 
 
+def test_main_text_is_chosen_by_the_threshold(spark, monkeypatch):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    whole = [html_main.main_text(p) for p in [*pages, ARTICLE]]
+    monkeypatch.setattr(html_main, "content_paths", lambda page, blocks: {b.path for b in blocks})
+    without = [html_main.main_text(p) for p in [*pages, ARTICLE]]
+    assert all(len(a) < len(b) for a, b in zip(whole, without, strict=True))
+
+
+def test_main_text_drops_menus_and_teasers_without_a_name():
+    body = "".join(f"<p>{p}</p>" for p in LONG)
+    menu = "".join(f"<li><a href='/{i}'>Place {i}</a></li>" for i in range(30))
+    teasers = "".join(f"<div class='x'><span>Story {i}</span></div>" for i in range(20))
+    page = f"<body><ul class='a'>{menu}</ul><div class='b'><h1>Title</h1>{body}</div><div class='c'>{teasers}</div></body>"
+    assert html_main.main_text(page) == " ".join(["Title", *LONG])
+
+
+def test_main_text_keeps_the_header_of_an_article():
+    body = "".join(f"<p>{p}</p>" for p in LONG)
+    page = f"<body><header>Site</header><article><header><h1>Title</h1></header>{body}<footer>By me</footer></article></body>"
+    assert html_main.main_text(page) == " ".join(["Title", *LONG])
+
+
+def test_main_text_with_furniture_named_by_id_only():
+    body = "".join(f"<p>{p}</p>" for p in LONG)
+    side = "".join(f"<p>{p.replace('Paragraph', 'Remark')}</p>" for p in LONG[:2])
+    for attribute in ("id='comments'", "id='sidebar'", "role='complementary'"):
+        page = f"<body><div id='a'><h1>Title</h1>{body}</div><div {attribute}>{side}</div></body>"
+        assert html_main.main_text(page) == " ".join(["Title", *LONG])
+    few = f"<body><div><p>A short text, of one line.</p></div><div id='comments'>{side}{side}</div><div><p>And its end, too.</p></div></body>"
+    assert html_main.main_text(few) == "A short text, of one line. And its end, too."
+
+
+def test_pages_are_read_in_linear_time():
+    def counted(n):
+        import sys
+
+        calls = 0
+
+        def count(frame, event, arg):
+            nonlocal calls
+            calls += 1
+
+        sys.setprofile(count)
+        try:
+            html_main.read_page("<p><table><td>" + "<span>" * n + "x<div></div>" * n)
+        finally:
+            sys.setprofile(None)
+        return calls
+
+    assert counted(2000) < 2.2 * counted(1000)
+
+
 def test_main_text_edge_cases(pages_of):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "just text &lt;b&gt;"), (4, "u", "<p>a<p>b"), (5, "u", "<nav>x"),
             (6, "u", "<div>" * 20_000 + "deep" + "</i>" * 20_000), (7, "u", "<a \"'" * 5_000), (8, "u", "<!--" * 5_000),
