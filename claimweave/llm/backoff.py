@@ -1,16 +1,22 @@
-"""Stupid-backoff scores of documents under bigrams of the corpus, computed by joins and sums.
+"""Stupid-backoff scores of documents under n-grams of the corpus, computed by joins and sums.
 
-Tokens are those of a byte-level BPE vocabulary below 65,536 entries, so a bigram is one whole number
-and no hash collides. A document isn't scored by its own text: its own occurrences of a bigram are taken
-off the corpus count. For a token w after u:
+Tokens are those of a byte-level BPE vocabulary below 65,536 entries, so an n-gram of up to three is one whole
+number and no hash collides. A document isn't scored by its own text: its own occurrences are taken off
+every count, so c(..) below is the corpus count less the document's. For a token w after u v, at order three:
 
-    (c(u w) - own(u w)) / c(u)     if the corpus has u w outside the document,
-    backoff * (c(w) + 1) / (N + V)  otherwise, as for a document's first token.
+    c(u v w) / c(u v)                       if that n-gram is found outside the document, else
+    backoff * c(v w) / c(v)                 if that one is, else
+    backoff^2 * (c(w) + 1) / (N + V)        with N less the document's tokens.
 
-Three steps. Bigram counts: exploded bigrams, combined before the shuffle, summed by bigram and stored.
-Head: the bigrams above one in HEAD of all tokens, fewer than HEAD rows by that definition, and the unigrams, V
-rows at most, are broadcast; no other bigram can make a hot key. Tail: the documents' other bigrams join
-the count table, both partitioned by hash, and sums per document combine before their shuffle.
+At order two the chain begins with c(v w) / c(v), with one factor less. A token with fewer before it begins with the
+n-gram it has; a document's first one scores backoff * (c(w) + 1) / (N + V).
+
+Three steps. N-gram counts: exploded n-grams, combined before the shuffle, summed by n-gram and stored; at
+order three the counts of a trigram's two bigrams are joined to it, where one bigram has V trigrams at most.
+Head: the longest n-grams above one in HEAD of all tokens, fewer than HEAD rows an order by that definition, and the
+unigrams, V rows at most, are broadcast; no other n-gram can make a hot key. Tail: the documents' other n-grams, each
+once with its number, join the count table, both partitioned by hash, and sums per document combine before
+their shuffle.
 
 Cases: a null or empty text has no tokens, and score null; repeated rows of one doc_id are scored apart
 and summed; null doc_ids are scored together as one; very long texts are scored whole; an empty table
@@ -33,6 +39,8 @@ from claimweave.llm.common import map_batches, stored
 HEAD = 262_144
 BACKOFF = 0.4
 SLICE = 256  # documents that a task counts together
+TRIGRAM = 1 << 48  # added to the 48 bits of a trigram; below it lie the 32 bits of bigrams
+PAIR = 0xFFFFFFFF
 
 
 def tokenised(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -75,61 +83,135 @@ def _bigrams(place: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndar
     return ((tokens[:-1] << 16) | tokens[1:])[inside], place[1:][inside]
 
 
-def ngram_counts(tokens: DataFrame) -> DataFrame:
-    """ngram, n over all documents: tokens below 0 as -1 - token, bigrams u * 65536 + w."""
+def _trigrams(place: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Trigrams of each document, without TRIGRAM, and the places of their documents."""
+    inside = place[2:] == place[:-2]
+    return ((tokens[:-2] << 32) | (tokens[1:-1] << 16) | tokens[2:])[inside], place[2:][inside]
+
+
+class _Counts:
+    """How often each document of a slice has an n-gram of up to 48 bits."""
+
+    def __init__(self, place: np.ndarray, grams: np.ndarray):
+        self.found, self.n = np.unique((place << 48) | grams, return_counts=True)
+
+    def of(self, place: np.ndarray, grams: np.ndarray) -> np.ndarray:
+        """For n-grams that the documents have."""
+        return self.n[np.searchsorted(self.found, (place << 48) | grams)]
+
+
+def ngram_counts(tokens: DataFrame, order: int = 2) -> DataFrame:
+    """ngram, n over all documents: tokens below 0 as -1 - token, bigrams u * 65536 + w, trigrams above TRIGRAM."""
 
     def emit(place, tokens, _ids, _sizes):
-        found, n = np.unique(np.concatenate([_bigrams(place, tokens)[0], -1 - tokens]), return_counts=True)
+        grams = [_bigrams(place, tokens)[0], -1 - tokens]
+        if order == 3:
+            grams.append(TRIGRAM | _trigrams(place, tokens)[0])
+        found, n = np.unique(np.concatenate(grams), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["ngram", "n"])
 
     counts = _over_slices(tokens, emit, "ngram long, n long")
     return counts.groupBy("ngram").agg(F.sum("n").alias("n"))
 
 
-def scores(docs: DataFrame, ranks_path: str, pattern: str, head: int = HEAD, backoff: float = BACKOFF) -> DataFrame:
+def _chains(counts: DataFrame, order: int) -> DataFrame:
+    """g, total of bigrams and trigrams, at order three with the counts of a trigram's first and last two tokens."""
+    if order == 2:
+        return counts.where("ngram >= 0").select(F.col("ngram").alias("g"), F.col("n").alias("total"))
+    two = counts.where(f"ngram >= 0 AND ngram < {TRIGRAM}")
+    three = counts.where(f"ngram >= {TRIGRAM}").select(F.col("ngram").alias("g"), F.col("n").alias("total"))
+    first = two.select(F.col("ngram").alias("first"), F.col("n").alias("context"))
+    last = two.select(F.col("ngram").alias("last"), F.col("n").alias("shorter"))
+    pair = F.lit(PAIR).cast("long")
+    three = three.join(first, F.shiftright("g", 16).bitwiseAND(pair) == F.col("first"))
+    three = three.join(last, F.col("g").bitwiseAND(pair) == F.col("last")).select("g", "total", "context", "shorter")
+    none = F.lit(None).cast("long")
+    two = two.select(F.col("ngram").alias("g"), F.col("n").alias("total"), none.alias("context"), none.alias("shorter"))
+    return stored(three.unionAll(two), "chains")
+
+
+def scores(
+    docs: DataFrame, ranks_path: str, pattern: str, head: int = HEAD, backoff: float = BACKOFF, order: int = 2
+) -> DataFrame:
     """doc_id, n_tokens, n_backoff (tokens scored by their unigram), log_prob and score, its mean."""
+    if order not in (2, 3):
+        raise ValueError("n-grams of two or three tokens are packed into a whole number")
     spark = docs.sparkSession
     vocab = max(read_ranks(ranks_path).values()) + 1
     if vocab > 1 << 16:
-        raise ValueError("bigrams are packed for vocabularies of at most 65,536 entries")
+        raise ValueError("n-grams are packed for vocabularies of at most 65,536 entries")
     texts = tokenised(docs, ranks_path, pattern)
-    counts = stored(ngram_counts(texts), "ngrams")
+    counts = stored(ngram_counts(texts, order), "ngrams")
     unigrams = np.zeros(vocab, dtype=np.int64)
     for r in counts.where("ngram < 0").collect():  # a row per vocabulary entry at most
         unigrams[-1 - r["ngram"]] = r["n"]
     total = int(unigrams.sum())
-    frequent = counts.where((F.col("ngram") >= 0) & (F.col("n") * head > F.lit(total)))  # fewer than `head`
-    rows = sorted((r["ngram"], r["n"]) for r in frequent.collect()) or [(-1, 0)]
-    floor = math.log(backoff) - math.log(max(1, total + vocab))
-    low = np.log(unigrams + 1.0) + floor
-    first = np.log(np.maximum(unigrams, 1))
-    shared = spark.sparkContext.broadcast(
-        (np.array([g for g, _ in rows]), np.array([n for _, n in rows]), low, first)
-    )
+    chains = _chains(counts, order)
+    frequent = chains.where(F.col("total") * head > F.lit(total))  # fewer than `head` of an order
+    rows = np.array(sorted(tuple(x or 0 for x in r) for r in frequent.collect()) or [(-1,) + (0,) * (len(chains.columns) - 1)])
+    shared = spark.sparkContext.broadcast((rows.T.copy(), unigrams))
+    low = math.log(backoff)
+    # What a row of a document's n-gram carries besides: its own counts, at order two the n-gram's is n.
+    owns = ["own_v", "own_w", "size"] + (["own", "own_context", "own_shorter"] if order == 3 else [])
 
     def emit(place, tokens, ids, sizes):
-        """A row for each document with all that the head decides, then its tail bigrams with their number."""
-        frequent, total_of, low, first = shared.value
-        starts = np.cumsum(sizes) - sizes
-        opening = starts[sizes > 0]
-        value = np.bincount(place[opening], low[tokens[opening]], len(sizes))
-        backed = np.bincount(place[opening], minlength=len(sizes))
+        """A row for each document with all that the head decides, then its tail n-grams with their number."""
+        table, unigrams = shared.value
+        count = len(sizes)
+        one = _Counts(place, tokens)
+        starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+        opening = tokens[starts]
+        value = np.zeros(count)
+        value[sizes > 0] = (
+            low
+            + np.log(unigrams[opening] - one.of(place[starts], opening) + 1.0)
+            - np.log(total - sizes[sizes > 0] + vocab)
+        )
+        backed = (sizes > 0).astype(np.int64)
         grams, where = _bigrams(place, tokens)
-        packed, n = np.unique((where << 32) | grams, return_counts=True)
-        where, grams = packed >> 32, packed & 0xFFFFFFFF
-        at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
-        known = frequent[at] == grams
-        left = np.where(known, total_of[at] - n, 0)
-        hit = known & (left > 0)
-        miss = known & ~hit
-        gain = np.where(hit, np.log(np.maximum(left, 1)) - first[grams >> 16], low[grams & 0xFFFF]) * n
-        value = value + np.bincount(where[known], gain[known], len(sizes))
-        backed = backed + np.bincount(where[miss], n[miss], len(sizes)).astype(np.int64)
+        two = _Counts(where, grams)
+        longest = two
+        flag = 0
+        if order == 3:
+            longest = _Counts(*reversed(_trigrams(place, tokens)))
+            flag = TRIGRAM
+        where, grams, n = longest.found >> 48, flag | (longest.found & (TRIGRAM - 1)), longest.n
+        own = {}
+        if order == 3:
+            seconds = (np.cumsum(sizes) - sizes)[sizes > 1]
+            pairs = (tokens[seconds] << 16) | tokens[seconds + 1]
+            known_of = place[seconds]
+            none = np.zeros(len(pairs), dtype=np.int64)
+            own["own"] = np.concatenate([n, two.of(known_of, pairs)])
+            own["own_context"] = np.concatenate([two.of(where, (grams >> 16) & PAIR), none])
+            own["own_shorter"] = np.concatenate([two.of(where, grams & PAIR), none])
+            where, grams = np.concatenate([where, known_of]), np.concatenate([grams, pairs])
+            n = np.concatenate([n, none + 1])
+        v, w = (grams >> 16) & 0xFFFF, grams & 0xFFFF
+        own |= {"own_v": one.of(where, v), "own_w": one.of(where, w), "size": sizes[where]}
+        at = np.minimum(np.searchsorted(table[0], grams), table.shape[1] - 1)
+        known = table[0][at] == grams
+        k, at = {name: x[known] for name, x in own.items()}, at[known]
+        left = table[1][at] - k.get("own", n[known])
+        rest = unigrams[v[known]] - k["own_v"]
+        context, left_2, steps = rest, np.zeros(len(at), dtype=np.int64), 1
+        if order == 3:
+            long = grams[known] >= TRIGRAM
+            context = np.where(long, table[2][at] - k["own_context"], rest)
+            left_2 = np.where(long, table[3][at] - k["own_shorter"], 0)
+            steps = 1 + long
+        floor = steps * low + np.log(unigrams[w[known]] - k["own_w"] + 1.0) - np.log(total - k["size"] + vocab)
+        second = low + np.log(np.maximum(left_2, 1)) - np.log(np.maximum(rest, 1))
+        gain = np.where(left_2 > 0, second, floor)
+        gain = np.where(left > 0, np.log(np.maximum(left, 1)) - np.log(np.maximum(context, 1)), gain) * n[known]
+        miss = n[known] * ((left <= 0) & (left_2 <= 0))
+        value = value + np.bincount(where[known], gain, count)
+        backed = backed + np.bincount(where[known], miss, count).astype(np.int64)
         tail = ~known
-        count = len(sizes)
         none = np.zeros(int(tail.sum()))
         # Keys of documents lie below all tokens and apart from each other, so that no task gets them all.
         keys = -(1 << 40) - np.random.default_rng(len(tokens)).integers(0, 1 << 40, count)
+        blank = np.zeros(count, dtype=np.int64)
         yield pa.RecordBatch.from_arrays(
             [
                 ids.take(pa.array(np.concatenate([np.arange(count), where[tail]]))),
@@ -137,30 +219,41 @@ def scores(docs: DataFrame, ranks_path: str, pattern: str, head: int = HEAD, bac
                 pa.array(np.concatenate([sizes, n[tail]]).astype(np.int64)),
                 pa.array(np.concatenate([backed, none]).astype(np.int64)),
                 pa.array(np.concatenate([value, none])),
+                *(pa.array(np.concatenate([blank, own[name][tail]]).astype(np.int32)) for name in owns),
             ],
-            names=["doc_id", "ngram", "n", "n_backoff", "log_prob"],
+            names=["doc_id", "ngram", "n", "n_backoff", "log_prob", *owns],
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    parts = _over_slices(texts, emit, f"doc_id {kind}, ngram long, n long, n_backoff long, log_prob double")
+    carried = "".join(f", {name} int" for name in owns)
+    parts = _over_slices(texts, emit, f"doc_id {kind}, ngram long, n long, n_backoff long, log_prob double{carried}")
     terms = spark.createDataFrame(
-        pd.DataFrame({"token": np.arange(vocab), "low": low, "first": first}), "token long, low double, first double"
+        pd.DataFrame({"token": np.arange(vocab), "of": unigrams}), "token long, of long"
     )
-    u = F.broadcast(terms.select(F.col("token").alias("u"), "first"))
-    w = F.broadcast(terms.select(F.col("token").alias("w"), "low"))
-    bigrams = counts.where("ngram >= 0").select(F.col("ngram").alias("g"), F.col("n").alias("total"))
+    v = F.broadcast(terms.select(F.col("token").alias("v"), F.col("of").alias("c_v")))
+    w = F.broadcast(terms.select(F.col("token").alias("w"), F.col("of").alias("c_w")))
     tail = F.col("ngram") >= 0
-    left = F.col("total") - F.col("n")
-    gain = F.col("n") * F.when(left > 0, F.log(left.cast("double")) - F.col("first")).otherwise(F.col("low"))
+    rest = F.col("c_v") - F.col("own_v")
+    left, context, left_2, steps = F.col("total") - F.col("n"), rest, F.lit(0), F.lit(1)
+    if order == 3:
+        long = F.col("ngram") >= TRIGRAM
+        left = F.col("total") - F.col("own")
+        context = F.when(long, F.col("context") - F.col("own_context")).otherwise(rest)
+        left_2 = F.when(long, F.col("shorter") - F.col("own_shorter")).otherwise(0)
+        steps = F.when(long, 2).otherwise(1)
+    floor = steps * low + F.log(F.col("c_w") - F.col("own_w") + 1) - F.log(F.lit(total + vocab) - F.col("size"))
+    second = F.lit(low) + F.log(left_2.cast("double")) - F.log(rest)
+    gain = F.when(left > 0, F.log(left) - F.log(context)).when(left_2 > 0, second).otherwise(floor)
+    missed = F.when((left > 0) | (left_2 > 0), 0).otherwise(F.col("n"))
     return (
-        parts.join(bigrams, F.col("ngram") == F.col("g"), "left")
-        .join(u, F.shiftright("ngram", 16) == F.col("u"), "left")
+        parts.join(chains, F.col("ngram") == F.col("g"), "left")
+        .join(v, F.shiftright("ngram", 16).bitwiseAND(0xFFFF) == F.col("v"), "left")
         .join(w, F.col("ngram").bitwiseAND(0xFFFF) == F.col("w"), "left")
         .select(
             "doc_id",
             F.when(tail, 0).otherwise(F.col("n")).alias("n_tokens"),
-            F.when(tail, F.when(left > 0, 0).otherwise(F.col("n"))).otherwise(F.col("n_backoff")).alias("n_backoff"),
-            F.when(tail, gain).otherwise(F.col("log_prob")).alias("log_prob"),
+            F.when(tail, missed).otherwise(F.col("n_backoff")).alias("n_backoff"),
+            F.when(tail, F.col("n") * gain).otherwise(F.col("log_prob")).alias("log_prob"),
         )
         .groupBy("doc_id")
         .agg(F.sum("n_tokens").alias("n_tokens"), F.sum("n_backoff").alias("n_backoff"), F.sum("log_prob").alias("log_prob"))

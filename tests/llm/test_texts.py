@@ -73,34 +73,51 @@ def test_frequent_pre_tokens_are_of_the_whole_table(docs_of):
     assert "early" in found and "late" in found
 
 
-@pytest.mark.parametrize("head", [1, 40, 1 << 18])
-def test_backoff_matches_brute_force(docs_of, head):
+@pytest.mark.parametrize(("head", "order"), [(1, 2), (40, 2), (1 << 18, 2), (1, 3), (40, 3), (1 << 18, 3)])
+def test_backoff_matches_brute_force(docs_of, head, order):
     rng = random.Random(4)
     words = "the of and house garden winter x1 y2".split()
     rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(30)))) for i in range(40)]
-    rows += [(50, None), (51, ""), (52, "Unseen!"), (53, rows[3][1]), (None, "the of the of")]
-    got = {r["doc_id"]: r for r in backoff.scores(docs_of(rows), SMALL, tokenizers.PATTERN, head=head).collect()}
+    rows += [(50, None), (51, ""), (52, "Unseen!"), (53, rows[3][1]), (54, "the"), (55, "of the"), (None, "the of the of")]
+    got = backoff.scores(docs_of(rows), SMALL, tokenizers.PATTERN, head=head, order=order).collect()
+    got = {r["doc_id"]: r for r in got}
     ranks = bpe.read_ranks(SMALL)
     encode = bpe.Encoder(ranks, bpe.PerfectHash(ranks), tokenizers.PATTERN).encode
-    tokens = {i: encode(t or "") for i, t in rows}
-    one = Counter(t for x in tokens.values() for t in x)
-    two = Counter(p for x in tokens.values() for p in zip(x, x[1:]))
-    total, vocab = sum(one.values()), max(ranks.values()) + 1
+    tokens = {i: tuple(encode(t or "")) for i, t in rows}
+
+    def grams(x):
+        return Counter(x[at : at + k] for k in range(1, order + 1) for at in range(len(x) - k + 1))
+
+    whole = sum((grams(x) for x in tokens.values()), Counter())
+    total, vocab = sum(map(len, tokens.values())), max(ranks.values()) + 1
     assert set(got) == set(tokens)
+    levels = Counter()
     for i, x in tokens.items():
-        own = Counter(zip(x, x[1:]))
+        count = whole - grams(x)
         score = backed = 0.0
-        for at, w in enumerate(x):
-            left = two[(x[at - 1], w)] - own[(x[at - 1], w)] if at else 0
-            score += math.log(left / one[x[at - 1]]) if left else math.log(0.4 * (one[w] + 1) / (total + vocab))
-            backed += not left
+        for at in range(len(x)):
+            factor = 0.4 if at == 0 else 1.0
+            for k in range(min(order, at + 1), 1, -1):
+                gram = x[at - k + 1 : at + 1]
+                if count[gram]:
+                    score += math.log(factor * count[gram] / count[gram[:-1]])
+                    levels[k] += 1
+                    break
+                factor *= 0.4
+            else:
+                score += math.log(factor * (count[x[at : at + 1]] + 1) / (total - len(x) + vocab))
+                backed += 1
         assert (got[i]["n_tokens"], got[i]["n_backoff"]) == (len(x), backed)
         assert got[i]["log_prob"] == pytest.approx(score)
         assert got[i]["score"] == (pytest.approx(score / len(x)) if x else None)
+    assert all(levels[k] for k in range(2, order + 1))
 
 
 def test_backoff_of_nothing(docs_of):
-    assert backoff.scores(docs_of([]), SMALL, tokenizers.PATTERN).count() == 0
+    for order in (2, 3):
+        assert backoff.scores(docs_of([]), SMALL, tokenizers.PATTERN, order=order).count() == 0
+    with pytest.raises(ValueError):
+        backoff.scores(docs_of([]), SMALL, tokenizers.PATTERN, order=4)
 
 
 def test_language_of_held_out_documents(spark):
