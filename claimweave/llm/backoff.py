@@ -6,7 +6,7 @@ every count, so c(..) below is the corpus count less the document's. For a token
 
     c(u v w) / c(u v)                       if that n-gram is found outside the document, else
     backoff * c(v w) / c(v)                 if that one is, else
-    backoff^2 * (c(w) + 1) / (N + V)        with N less the document's tokens.
+    backoff^2 * (c(w) + 1) / (N + V)        with N less the tokens of the doc_id.
 
 At order two the chain begins with c(v w) / c(v), with one factor less. A token with fewer before it begins with the
 n-gram it has; a document's first one scores backoff * (c(w) + 1) / (N + V).
@@ -100,6 +100,25 @@ class _Counts:
         return self.n[np.searchsorted(self.found, (place << 48) | grams)]
 
 
+class _Tokens:
+    """How often each document has a token: what its bigrams begin with, and its last token once more."""
+
+    def __init__(self, bigrams: _Counts, last_place: np.ndarray, last: np.ndarray):
+        first = bigrams.found >> 16
+        starts = np.flatnonzero(np.diff(first, prepend=-1))
+        self.found = np.append(first[starts], 1 << 62)
+        self.n = np.append(np.add.reduceat(bigrams.n, starts) if len(starts) else bigrams.n, 0)
+        keys = (last_place << 32) | last
+        at = np.searchsorted(self.found, keys)
+        self.n[at[self.found[at] == keys]] += 1
+
+    def of(self, place: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """For tokens that the documents have: one that begins no bigram is found once, at the end."""
+        keys = (place << 32) | tokens
+        at = np.searchsorted(self.found, keys)
+        return np.where(self.found[at] == keys, self.n[at], 1)
+
+
 def ngram_counts(tokens: DataFrame, order: int = 2) -> DataFrame:
     """ngram, n over all documents: tokens below 0 as -1 - token, bigrams u * 65536 + w, trigrams above TRIGRAM."""
 
@@ -151,25 +170,23 @@ def scores(
     rows = np.array(sorted(tuple(x or 0 for x in r) for r in frequent.collect()) or [(-1,) + (0,) * (len(chains.columns) - 1)])
     shared = spark.sparkContext.broadcast((rows.T.copy(), unigrams))
     low = math.log(backoff)
-    # What a row of a document's n-gram carries besides: its own counts, at order two the n-gram's is n.
-    owns = ["own_v", "own_w", "size"] + (["own", "own_context", "own_shorter"] if order == 3 else [])
+    # What a row of a document's n-gram carries besides: its own counts, at order two the n-gram's is n. The
+    # counts of its last two tokens share a column, which holds n_backoff in the rows of documents.
+    owns = ["own", "own_context", "own_shorter"] if order == 3 else []
 
     def emit(place, tokens, ids, sizes):
         """A row for each document with all that the head decides, then its tail n-grams with their number."""
         table, unigrams = shared.value
         count = len(sizes)
-        one = _Counts(place, tokens)
+        grams, where = _bigrams(place, tokens)
+        two = _Counts(where, grams)
+        ends = np.cumsum(sizes)[sizes > 0] - 1
+        one = _Tokens(two, place[ends], tokens[ends])
         starts = (np.cumsum(sizes) - sizes)[sizes > 0]
         opening = tokens[starts]
         value = np.zeros(count)
-        value[sizes > 0] = (
-            low
-            + np.log(unigrams[opening] - one.of(place[starts], opening) + 1.0)
-            - np.log(total - sizes[sizes > 0] + vocab)
-        )
+        value[sizes > 0] = low + np.log(unigrams[opening] - one.of(place[starts], opening) + 1.0)
         backed = (sizes > 0).astype(np.int64)
-        grams, where = _bigrams(place, tokens)
-        two = _Counts(where, grams)
         longest = two
         flag = 0
         if order == 3:
@@ -188,19 +205,19 @@ def scores(
             where, grams = np.concatenate([where, known_of]), np.concatenate([grams, pairs])
             n = np.concatenate([n, none + 1])
         v, w = (grams >> 16) & 0xFFFF, grams & 0xFFFF
-        own |= {"own_v": one.of(where, v), "own_w": one.of(where, w), "size": sizes[where]}
+        last_two = (one.of(where, v) << 32) | one.of(where, w)
         at = np.minimum(np.searchsorted(table[0], grams), table.shape[1] - 1)
         known = table[0][at] == grams
         k, at = {name: x[known] for name, x in own.items()}, at[known]
         left = table[1][at] - k.get("own", n[known])
-        rest = unigrams[v[known]] - k["own_v"]
+        rest = unigrams[v[known]] - (last_two[known] >> 32)
         context, left_2, steps = rest, np.zeros(len(at), dtype=np.int64), 1
         if order == 3:
             long = grams[known] >= TRIGRAM
             context = np.where(long, table[2][at] - k["own_context"], rest)
             left_2 = np.where(long, table[3][at] - k["own_shorter"], 0)
             steps = 1 + long
-        floor = steps * low + np.log(unigrams[w[known]] - k["own_w"] + 1.0) - np.log(total - k["size"] + vocab)
+        floor = steps * low + np.log(unigrams[w[known]] - (last_two[known] & PAIR) + 1.0)
         second = low + np.log(np.maximum(left_2, 1)) - np.log(np.maximum(rest, 1))
         gain = np.where(left_2 > 0, second, floor)
         gain = np.where(left > 0, np.log(np.maximum(left, 1)) - np.log(np.maximum(context, 1)), gain) * n[known]
@@ -217,23 +234,23 @@ def scores(
                 ids.take(pa.array(np.concatenate([np.arange(count), where[tail]]))),
                 pa.array(np.concatenate([keys, grams[tail]])),
                 pa.array(np.concatenate([sizes, n[tail]]).astype(np.int64)),
-                pa.array(np.concatenate([backed, none]).astype(np.int64)),
+                pa.array(np.concatenate([backed, last_two[tail]])),
                 pa.array(np.concatenate([value, none])),
                 *(pa.array(np.concatenate([blank, own[name][tail]]).astype(np.int32)) for name in owns),
             ],
-            names=["doc_id", "ngram", "n", "n_backoff", "log_prob", *owns],
+            names=["doc_id", "ngram", "n", "last_two", "log_prob", *owns],
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     carried = "".join(f", {name} int" for name in owns)
-    parts = _over_slices(texts, emit, f"doc_id {kind}, ngram long, n long, n_backoff long, log_prob double{carried}")
+    parts = _over_slices(texts, emit, f"doc_id {kind}, ngram long, n long, last_two long, log_prob double{carried}")
     terms = spark.createDataFrame(
         pd.DataFrame({"token": np.arange(vocab), "of": unigrams}), "token long, of long"
     )
     v = F.broadcast(terms.select(F.col("token").alias("v"), F.col("of").alias("c_v")))
     w = F.broadcast(terms.select(F.col("token").alias("w"), F.col("of").alias("c_w")))
     tail = F.col("ngram") >= 0
-    rest = F.col("c_v") - F.col("own_v")
+    rest = F.col("c_v") - F.shiftright("last_two", 32)
     left, context, left_2, steps = F.col("total") - F.col("n"), rest, F.lit(0), F.lit(1)
     if order == 3:
         long = F.col("ngram") >= TRIGRAM
@@ -241,7 +258,8 @@ def scores(
         context = F.when(long, F.col("context") - F.col("own_context")).otherwise(rest)
         left_2 = F.when(long, F.col("shorter") - F.col("own_shorter")).otherwise(0)
         steps = F.when(long, 2).otherwise(1)
-    floor = steps * low + F.log(F.col("c_w") - F.col("own_w") + 1) - F.log(F.lit(total + vocab) - F.col("size"))
+    own_w = F.col("last_two").bitwiseAND(F.lit(PAIR).cast("long"))
+    floor = steps * low + F.log(F.col("c_w") - own_w + 1)
     second = F.lit(low) + F.log(left_2.cast("double")) - F.log(rest)
     gain = F.when(left > 0, F.log(left) - F.log(context)).when(left_2 > 0, second).otherwise(floor)
     missed = F.when((left > 0) | (left_2 > 0), 0).otherwise(F.col("n"))
@@ -252,10 +270,11 @@ def scores(
         .select(
             "doc_id",
             F.when(tail, 0).otherwise(F.col("n")).alias("n_tokens"),
-            F.when(tail, missed).otherwise(F.col("n_backoff")).alias("n_backoff"),
+            F.when(tail, missed).otherwise(F.col("last_two")).alias("n_backoff"),
             F.when(tail, F.col("n") * gain).otherwise(F.col("log_prob")).alias("log_prob"),
         )
         .groupBy("doc_id")
         .agg(F.sum("n_tokens").alias("n_tokens"), F.sum("n_backoff").alias("n_backoff"), F.sum("log_prob").alias("log_prob"))
+        .withColumn("log_prob", F.col("log_prob") - F.col("n_backoff") * F.log(F.lit(total + vocab) - F.col("n_tokens")))
         .withColumn("score", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
     )
