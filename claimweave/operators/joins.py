@@ -122,8 +122,12 @@ def lookup_join(
     values: Sequence[Column | str],
     how: str = "left",
     when: Column | None = None,
+    spread_by: str | None = None,
 ) -> DataFrame:
-    """Join the live rows of a lookup table; ``when`` is an extra test on left columns."""
+    """Join the live rows of a lookup table; ``when`` is an extra test on left columns.
+
+    ``spread_by`` names a column that deals out the rows with a NULL key, for tables too large to broadcast.
+    """
     left_key, right_key = on
     live = table.filter(not_deleted(F.col("deleted_flag"))).select(
         F.col(right_key).alias("_key"), *values
@@ -131,7 +135,10 @@ def lookup_join(
     matches = left[left_key] == live["_key"]
     if when is not None:
         matches = matches & when
-    return left.join(live, matches, how).drop("_key")
+    if spread_by is not None:
+        left = left.withColumn("_spread", F.coalesce(left_key, spread_by))
+        matches = matches & (left["_spread"] == live["_key"])
+    return left.join(live, matches, how).drop("_key", "_spread")
 
 
 def spread_null_join(

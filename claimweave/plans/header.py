@@ -87,7 +87,7 @@ def add_medicare_id(facts: DataFrame, wh: Warehouse, options: HeaderOptions) ->
     The date depends on the id row: a deleted id row leaves it empty.
     """
     ids = medicare_ids(wh, options)
-    joined = facts.join(ids, facts["member_key"] == ids["_member"], "left").drop("_member")
+    joined = spread_null_join(facts, ids, ("member_key", "_member"), "claim_fact_key")
     return lookup_join(
         joined,
         _undeleted_view(wh),
@@ -158,7 +158,7 @@ def claim_rows(
     """
     facts = selected_claims(wh, claim_keys).select(*ROW_KEYS)
     ids = medicare_ids(wh, options).select("_member")
-    return facts.join(ids, facts["member_key"] == ids["_member"], "left").drop("_member")
+    return spread_null_join(facts, ids, ("member_key", "_member"), "claim_fact_key")
 
 
 def claim_copies(header: DataFrame) -> DataFrame:

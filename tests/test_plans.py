@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from claimweave.checks.queries import QUERIES
 from claimweave.operators import asof_join, drop_superseded_lines, joins, only_keys, stage
 from claimweave.operators.broadcast import broadcast_if_small
-from claimweave.operators.joins import spread_null_join
+from claimweave.operators.joins import lookup_join, spread_null_join
 from claimweave.operators.ordering import ordered_join, split_points
 from claimweave.plans import clinical, header, provider
 from claimweave.plans.amounts import claim_amounts, line_sums
@@ -288,3 +288,15 @@ def test_narrow_claim_rows_are_the_headers_rows(spark, folder):
     assert values(header.claim_rows(wh), *header.ROW_KEYS) == values(
         header.claim_details(wh, "PAYER"), *header.ROW_KEYS
     )
+
+
+def test_null_keys_of_large_lookups_are_dealt_out(spark, settings):
+    settings(autoBroadcastJoinThreshold=-1, adaptive__enabled="false", shuffle__partitions=8)
+    rows = spark.range(2000).selectExpr("id AS claim_fact_key", "CASE WHEN id % 10 = 0 THEN id END AS address")
+    table = spark.range(0, 2000, 20).selectExpr("id AS postal_address_key", "'c' || id AS city", "'N' AS deleted_flag")
+    joined = lookup_join(rows, table, ("address", "postal_address_key"), ["city"], spread_by="claim_fact_key")
+    assert values(joined, "claim_fact_key", "city") == sorted(
+        ((k, f"c{k}" if k % 20 == 0 else None) for k in range(2000)), key=lambda r: str(r[0])
+    )
+    sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 600
