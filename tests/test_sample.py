@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from claimweave.checks.queries import QUERIES
+from claimweave.sources.sample import SampleViews
 
 DAY = dt.datetime(1996, 5, 1)
 SCHEMAS = {
@@ -44,3 +45,17 @@ def test_a_day_of_a_large_key_does_not_stop_the_job(spark, tmp_path, name):
     assert found
     if "patient_death_date" in rows.columns:
         assert {r.patient_death_date for r in found} == {None}
+
+
+def test_a_file_that_is_read_in_parts_is_not_shuffled_before_use(spark, tmp_path):
+    folder = tables(spark, tmp_path, orders=2000)
+
+    def plan(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            return SampleViews(spark, folder)["lineitem"]._jdf.queryExecution().optimizedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+    assert "Repartition" not in plan("1k")
+    assert "Repartition" in plan("128m")
