@@ -8,7 +8,7 @@ from claimweave.operators import asof_join, drop_superseded_lines, joins, only_k
 from claimweave.operators.broadcast import broadcast_if_small
 from claimweave.operators.joins import lookup_join, spread_null_join
 from claimweave.operators.ordering import ordered_join, split_points
-from claimweave.plans import clinical, header, provider
+from claimweave.plans import assemble, clinical, header, provider
 from claimweave.plans.amounts import claim_amounts, line_sums
 from claimweave.sources import Warehouse
 from small import values
@@ -61,6 +61,44 @@ def test_amounts_combine_before_the_shuffle_and_use_no_python(files, settings):
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_the_liability_is_made_from_the_sums_of_its_parts(spark):
+    parts = "base_coinsurance_amount base_copay_amount base_deductible_amount".split()
+    others = "billed_amount base_non_covered_amount base_allowed_amount base_paid_amount".split()
+    rows = [(1, None, 2, 3), (1, 4, None, None), (2, None, None, None), (None, 1, 1, 1)]
+    lines = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in ("claim_fact_key", *parts))).withColumns(
+        {c: F.col(c).cast("decimal(19,2)") for c in parts}
+        | {c: (F.col("claim_fact_key") + n).cast("decimal(19,2)") for n, c in enumerate(others)}
+    )
+    sums = line_sums(lines)
+    assert plan_of(sums).count("partial_sum") == 7
+    found = values(sums, "claim_fact_key", "claim_coinsurance_amount", "claim_patient_liability_amount")
+    assert found == [(None, 1, 3), (1, 4, 9), (2, None, 0)]
+
+
+def test_a_professional_table_stages_its_own_claims_and_their_parts_before_the_wide_join(
+    spark, folder, settings, monkeypatch
+):
+    from claimweave.sources.sample import sample_warehouse
+
+    staged = {}
+
+    def recorded(df, label):
+        staged[label] = stage(df, label)
+        return staged[label]
+
+    monkeypatch.setattr(assemble, "stage", recorded)
+    build = assemble.build_claims(sample_warehouse(spark, folder), "PAYER")
+    rows = build.professional
+    kinds = staged["header-professional"].select(F.upper("claim_type_name")).distinct().collect()
+    assert [k[0] for k in kinds] == ["PROFESSIONAL"] and "header" not in staged
+    assert staged["parts"].count() == staged["header-professional"].select("claim_fact_key").distinct().count()
+    settings(autoBroadcastJoinThreshold=-1, adaptive__enabled="false")
+    plan = plan_of(rows)
+    # No line, payment or diagnosis is read, and each staged table is met once.
+    assert "l_linenumber" not in plan and plan.count("LeftOuter") <= 8
+    assert build.header.count() > staged["header-professional"].count()
+
+
 def test_newest_payment_is_reduced_before_any_join(files, settings):
     settings(autoBroadcastJoinThreshold=-1)
     plan = plan_of(clinical.latest_payment(files))
