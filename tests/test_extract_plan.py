@@ -59,3 +59,18 @@ def test_likely_rows_are_all_of_the_keys_few_others_and_none_without_a_key(spark
         other = few.select(F.col("k").cast(kind))
         assert values(likely_rows(rows, other, "k")) == wanted
     assert likely_rows(rows, few.limit(0), "k").count() == 0
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_key_columns_are_found_whatever_their_case(spark, ordered):
+    """Claims staged from a build have their keys in upper case."""
+    base = staged(spark, "PROFESSIONAL", [(1, DAY, 1), (2, DAY, 2)], [(1, 10), (2, 20), (3, 30)])
+    upper = ("CLAIM_FACT_KEY", "CREATED_DATE", "SEQ_NO")
+    data = Staging(base.audit, base.claims.withColumnsRenamed({c.lower(): c for c in upper}), base.lines)
+    records = extract_records(data, "professional", ordered=ordered)
+    assert records.columns == ["claim_fact_key", "claim_line_fact_key", "claim_data"]
+    assert values(records) == values(extract_records(base, "professional", ordered=ordered))
+    few = spark.createDataFrame([(2,)], "claim_fact_key long")
+    met = likely_rows(data.claims, few, "claim_fact_key")
+    assert values(met, "CLAIM_FACT_KEY") == [(2,)]
+    assert "bitmap_construct_agg" in met._jdf.queryExecution().optimizedPlan().toString()
